@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # They decide what lands in the published tables.
-BOT_PATTERN = "bot|spider|crawl"
+BOT_WORDS = ("bot", "spider", "crawl")
 MOBILE_PLATFORMS = ("ios", "android")
 TV_PLATFORMS = ("lr_apple", "lr_fire", "lr_roku", "lr_xbox", "lr_android")
 BREAK_TYPES = {"pre-roll": ("preroll", "PREROLL"), "mid-roll": ("midroll", "MIDROLL")}
@@ -14,6 +17,10 @@ TARGET_TYPES = {"series": ("show", "shows"), "episodes": ("episode", "epısode")
 BEAT_SECONDS = 30
 
 
+def two_digits(number: Column) -> Column:
+    return F.coalesce(F.lpad(number.cast("string"), 2, "0"), F.lit("null"))
+
+
 def date_parts(moment: Column) -> list[Column]:
     """year as a number, month and day as two-digit text.
 
@@ -21,14 +28,14 @@ def date_parts(moment: Column) -> list[Column]:
     """
     return [
         F.year(moment).alias("year"),
-        F.format_string("%02d", F.month(moment)).alias("month"),
-        F.format_string("%02d", F.dayofmonth(moment)).alias("day"),
+        two_digits(F.month(moment)).alias("month"),
+        two_digits(F.dayofmonth(moment)).alias("day"),
     ]
 
 
 def is_not_bot(agent: Column) -> Column:
     """Rows without an agent stay; the match is case-sensitive and on substrings."""
-    return agent.isNull() | ~agent.rlike(BOT_PATTERN)
+    return agent.isNull() | ~reduce(or_, (agent.contains(word) for word in BOT_WORDS))
 
 
 def event_tier(tier: Column, user: Column) -> Column:
@@ -52,8 +59,13 @@ def renamed(value: Column, names: dict[str, tuple[str, ...]]) -> Column:
 
 
 def ascii_text(value: Column) -> Column:
-    """Non-ASCII characters dropped. Empty text becomes NULL, text without ASCII becomes ''."""
-    return F.when(F.length(value) > 0, F.regexp_replace(value, r"[^\x00-\x7F]", ""))
+    """Non-ASCII characters dropped. Empty text becomes NULL, text without ASCII becomes ''.
+
+    Text with as many bytes as characters is ASCII already and skips the replacement.
+    """
+    stripped = F.regexp_replace(value, r"[^\x00-\x7F]+", "")
+    plain = F.octet_length(value) == F.char_length(value)
+    return F.when(F.length(value) > 0, F.when(plain, value).otherwise(stripped))
 
 
 def mobile_flag(platform: Column, tv_is_false: bool = False) -> Column:
@@ -67,10 +79,10 @@ def mobile_flag(platform: Column, tv_is_false: bool = False) -> Column:
 def whole_number(value: Column) -> Column:
     """Text or number to INT, NULL if it is not one; a decimal fraction is cut off.
 
-    A strict cast refuses '12.7', so the digits before the point are taken first.
+    A strict cast refuses '12.7', so text it refuses is tried again without its fraction.
     """
     digits = F.regexp_extract(F.trim(value.cast("string")), r"^([+-]?\d+)(\.\d*)?$", 1)
-    return F.coalesce(digits.try_cast("int"), value.try_cast("int"))
+    return F.coalesce(value.try_cast("int"), digits.try_cast("int"))
 
 
 def decile(percentage: Column) -> Column:

@@ -292,7 +292,7 @@ EVENT_JOBS = (
     event(
         "registration_succeeded", "event_id", EVENT_ID, "platform anonymous_id user_id",
         ("event_timestamp", "timestamp"),
-        platforms=("backend",), nulls="user_id", event_time="timestamp",
+        platforms=("backend",), nulls="user_id",
     ),
     event(
         "search_event", "message_id", MESSAGE_ID, ("event_type", cut("label", 64)),

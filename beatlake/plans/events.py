@@ -24,13 +24,12 @@ class Part:
     feed: Feed
     columns: tuple[tuple[str, Source], ...]
 
-    def project(self, raw: Slice, event_time: str, skip_bots: bool, number: int) -> DataFrame:
+    def project(self, raw: Slice, skip_bots: bool, number: int) -> DataFrame:
         rows = self.feed.complete(raw)
         if skip_bots:
             rows = rows.where(is_not_bot(F.col(AGENT_COLUMN)))
         return rows.select(
             *(_expression(source).alias(name) for name, source in self.columns),
-            *date_parts(F.col(event_time)),
             PLATFORM,
             RUN_DATE,
             F.lit(number).alias(_PART),
@@ -47,13 +46,13 @@ class EventJob:
 
     Messages are deduplicated within their input day, platform and feed: the same id in two of
     them is two rows. All of them are unioned first, so there is one shuffle however many there are.
+    ``sort_key`` is the output column with the event's time, which also dates the row.
     """
 
     name: str
     key: str
     parts: tuple[Part, ...]
     sort_key: str = "event_timestamp"
-    event_time: str = "received_at"
     skip_bots: bool = False
     drop_null_first: tuple[str, ...] = ()
     drop_null_last: tuple[str, ...] = ()
@@ -66,7 +65,7 @@ class EventJob:
 
     def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
         rows = union_present(
-            part.project(raw, self.event_time, self.skip_bots, number)
+            part.project(raw, self.skip_bots, number)
             for number, part in enumerate(self.parts)
             for raw in read(part.feed)
         )
@@ -78,4 +77,4 @@ class EventJob:
             rows = keep_first(rows, [self.key, PLATFORM, RUN_DATE, _PART], [self.sort_key])
         if self.drop_null_last:
             rows = rows.na.drop(subset=list(self.drop_null_last))
-        return rows.drop(PLATFORM, RUN_DATE, _PART)
+        return rows.select(*self.column_list, *date_parts(F.col(self.sort_key)))

@@ -127,7 +127,7 @@ class SubscriptionJob:
             typed("stripe_user", "boolean"),
             typed("sent_at", "timestamp"),
             "user_id",
-            *date_parts(F.col("received_at")),
+            "received_at",
         )
 
     def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
@@ -137,7 +137,7 @@ class SubscriptionJob:
         changes = changes.na.drop(subset=list(self.identity))
         kept = keep_first(changes, [RUN_DATE, *self.identity], ["event_timestamp"])
         matched = with_user_key(kept, "user_id", one_key_per_user(users), ["id"])
-        return matched.select(*self.column_list, "year", "month", "day")
+        return matched.select(*self.column_list, *date_parts(F.col("received_at")))
 
 
 FACT_VISITS = VisitsJob(

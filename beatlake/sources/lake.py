@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -29,6 +31,8 @@ SOURCE_IDS = {
 }
 FALLBACK_PLATFORM = "android"
 
+SCHEMA_READS = 16
+
 # Internal columns of raw frames: where a row was loaded from, which its own columns need not say.
 PLATFORM = "_platform"
 RUN_DATE = "_run_date"
@@ -93,6 +97,10 @@ class EventLake:
         rows = read_parquet(self.spark, days_glob(base, days), base=base, merge_schema=True)
         return None if rows is None else Slice(self._tagged(rows, platform), (platform,))
 
+    def _day_schema(self, base: str, day: date) -> StructType | None:
+        rows = read_parquet(self.spark, f"{base}/{day_folder(day)}", merge_schema=True)
+        return None if rows is None else rows.schema
+
     def scan_by_schema(self, segment_type: str, platform: str, days: list[date]) -> list[Slice]:
         """One scan per distinct schema among the days.
 
@@ -100,16 +108,17 @@ class EventLake:
         with and without it must not be merged.
         """
         base = self.feed_root(segment_type, platform)
+        wanted = sorted(set(days))
+        # Spark reads the footers of a day in one job; only the resulting schemas come here.
+        with ThreadPoolExecutor(SCHEMA_READS) as pool:
+            schemas = list(pool.map(lambda day: self._day_schema(base, day), wanted))
         by_schema: dict[str, list[date]] = defaultdict(list)
-        schemas: dict[str, StructType] = {}
-        for day in sorted(set(days)):
-            rows = read_parquet(self.spark, f"{base}/{day_folder(day)}", merge_schema=True)
-            if rows is not None:
-                schemas[rows.schema.json()] = rows.schema
-                by_schema[rows.schema.json()].append(day)
+        for day, schema in zip(wanted, schemas, strict=True):
+            if schema is not None:
+                by_schema[schema.json()].append(day)
         slices = []
         for text, same in by_schema.items():
-            schema = StructType(schemas[text].fields)
+            schema = StructType.fromJson(json.loads(text))
             for part in ("year", "month", "day"):
                 schema = schema.add(part, "string")
             rows = read_parquet(self.spark, days_glob(base, same), schema, base)

@@ -155,14 +155,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(rows: DataFrame, columns: dict[str, str], *kept: str) -> DataFrame:
+    return rows.selectExpr(*kept, *(f"{text} AS `{name}`" for name, text in columns.items()))
+
+
 def derived(rows: DataFrame, columns: dict[str, str], platform: str) -> DataFrame:
     """The raw rows: all of them one input day, unless the caller sets the run date."""
-    made = [F.expr(text).alias(name) for name, text in columns.items()]
-    return rows.select(*made, F.expr(platform).alias(PLATFORM), F.lit("one run").alias(RUN_DATE))
+    return named(rows, {**columns, PLATFORM: platform, RUN_DATE: "'one run'"})
 
 
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("*", *(F.expr(text).alias(name) for name, text in NUMBERED.items()))
+    return named(table(spark, sf_dir, "events"), NUMBERED, "*")
 
 
 def raw_events(spark: SparkSession, sf_dir: str, platforms: tuple[str, ...], titles: bool = False) -> Slice:
@@ -187,4 +190,4 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> Slice:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(*(F.expr(text).alias(name) for name, text in USER_COLUMNS.items()))
+    return named(table(spark, sf_dir, "customer"), USER_COLUMNS)

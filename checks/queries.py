@@ -343,9 +343,7 @@ def export_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch(spark)}/dim_user"
-    rows = adapters.table(spark, sf_dir, "customer").select(
-        "c_name", "c_mktsegment", *(F.expr(text).alias(name) for name, text in adapters.USER_COLUMNS.items())
-    )
+    rows = adapters.named(adapters.table(spark, sf_dir, "customer"), adapters.USER_COLUMNS, "c_name", "c_mktsegment")
     write_snapshot(rows, path)
     return load_users(spark, path)
 
