@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from beatlake.operators.merge import ParquetTarget
 from beatlake.plans.registry import jobs_named
 from beatlake.plans.runs import Run
 from beatlake.session import build_session
@@ -21,10 +22,10 @@ def main() -> None:
 
     jobs = jobs_named(options.names)
     run = Run(build_session(), options.lake, options.processed, tuple(run_dates(options.dates)))
-    run.process(jobs)
-    if options.warehouse:
-        for job in jobs:
-            run.publish(job, warehouse_root=options.warehouse)
+    for job in jobs:
+        late = run.process(job)
+        if options.warehouse:
+            run.publish(job, ParquetTarget(run.spark, f"{options.warehouse.rstrip('/')}/{job.name}"), late)
 
 
 if __name__ == "__main__":

@@ -76,13 +76,17 @@ def mobile_flag(platform: Column, tv_is_false: bool = False) -> Column:
     return flag
 
 
-def whole_number(value: Column) -> Column:
-    """Text or number to INT, NULL if it is not one; a decimal fraction is cut off.
+def whole_number(value: Column, kind: str) -> Column:
+    """A column of type ``kind`` as INT, NULL where it is no such number; fractions are cut off.
 
-    A strict cast refuses '12.7', so text it refuses is tried again without its fraction.
+    Text is matched first: a strict cast refuses '12.7', and each refusal costs an exception.
     """
-    digits = F.regexp_extract(F.trim(value.cast("string")), r"^([+-]?\d+)(\.\d*)?$", 1)
-    return F.coalesce(value.try_cast("int"), digits.try_cast("int"))
+    if kind != "string":
+        return value.try_cast("int")
+    number = r"^([+-]?)0*(\d{1,10})(\.\d*)?$"
+    text = F.trim(value)
+    whole = F.when(text.rlike(number), F.regexp_replace(text, number, "$1$2").cast("bigint"))
+    return F.when(whole.between(-(2**31), 2**31 - 1), whole.cast("int"))
 
 
 def decile(percentage: Column) -> Column:

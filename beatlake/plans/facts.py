@@ -108,6 +108,7 @@ class SubscriptionJob:
         def typed(name: str, kind: str) -> Column:
             return F.col(name).try_cast(kind).alias(name)
 
+        amount_type = dict(raw.rows.dtypes)["amount_cents"]
         return self.feed.complete(raw).select(
             RUN_DATE,
             "id",
@@ -122,7 +123,7 @@ class SubscriptionJob:
             typed("trial", "boolean"),
             "payment_provider",
             "membership_plan",
-            whole_number(F.col("amount_cents")).alias("amount_cents"),
+            whole_number(F.col("amount_cents"), amount_type).alias("amount_cents"),
             "coupon_code",
             typed("stripe_user", "boolean"),
             typed("sent_at", "timestamp"),

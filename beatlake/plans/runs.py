@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatlake.operators.combine import union_present
-from beatlake.operators.merge import ParquetTarget, merge
+from beatlake.operators.merge import merge
 from beatlake.plans.model import Job
 from beatlake.plans.registry import DUPLICATE_KEY_JOBS
 from beatlake.sources.lake import EventLake, load_users
-from beatlake.sources.tables import read_days, write_days
+from beatlake.sources.tables import read_days, write_days, write_run_days
 
 
 @dataclass(frozen=True)
@@ -38,27 +38,35 @@ class Run:
         users = load_users(self.spark, self.path("dim_user")) if job.needs_users else None
         return job.build(lambda feed: lake.slices(feed, list(self.days)), users)
 
-    def process(self, jobs: Sequence[Job]) -> None:
-        """Write the day tables of the jobs. A job without input writes nothing."""
-        for job in jobs:
-            rows = self.build(job)
-            if rows is not None:
-                write_days(rows, self.path(job.name))
+    def process(self, job: Job, replace_late_days: bool = False) -> list[date]:
+        """Write the job's day table; without input nothing is written.
 
-    def staged(self, job: Job) -> DataFrame | None:
+        A run holds its own days and, through late events, now and then rows of other days. Its
+        own days are replaced. Other days get the rows they lack and are returned, or with
+        ``replace_late_days`` are replaced too, which loses what they held before.
+        """
+        rows = self.build(job)
+        if rows is None:
+            return []
+        if replace_late_days:
+            write_days(rows, self.path(job.name))
+            return []
+        keys = [job.key, job.sort_key] if job.name in DUPLICATE_KEY_JOBS else [job.key]
+        return write_run_days(rows, self.path(job.name), self.path(f"_incoming/{job.name}"), self.days, keys)
+
+    def staged(self, job: Job, late_days: Sequence[date] = ()) -> DataFrame | None:
         """The run dates' rows of a day table, cut to its published columns."""
-        return read_days(self.spark, self.path(job.name), list(self.days), job.column_list)
+        days = [*self.days, *late_days]
+        return read_days(self.spark, self.path(job.name), days, job.column_list)
 
-    def publish(self, job: Job, target=None, warehouse_root: str | None = None) -> None:
+    def publish(self, job: Job, target, late_days: Sequence[date] = ()) -> None:
         """Add the run dates' rows that the published table lacks.
 
         The staged days go straight into the merge: the table is only read and appended to.
         """
-        stage = self.staged(job)
-        if stage is None:
-            return
-        target = target or ParquetTarget(self.spark, f"{warehouse_root.rstrip('/')}/{job.name}")
-        merge(stage, target, job.key, job.sort_key, with_dupes=job.name in DUPLICATE_KEY_JOBS)
+        stage = self.staged(job, late_days)
+        if stage is not None:
+            merge(stage, target, job.key, job.sort_key, with_dupes=job.name in DUPLICATE_KEY_JOBS)
 
 
 def row_counts(built: Iterable[tuple[str, DataFrame | None]]) -> DataFrame | None:

@@ -50,13 +50,13 @@ def session_rows(feed: Feed, raw: Slice, context: Sequence[str], *extra: str | C
     return rows.select(*SESSION, "content_id", "anonymous_id", "user_tier", USER, *context, "received_at", *extra)
 
 
-def combinations(beats: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
-    """One row per session and combination of ``columns``, with beats counted and timed."""
+def combinations(beats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per session and combination of ``columns``, with beats counted, timed and placed."""
     return beats.groupBy(*SESSION, *columns).agg(
         F.count("*").alias("beats"),
         F.min("received_at").alias("first_beat"),
         F.max("received_at").alias("last_beat"),
-        *more,
+        F.max("position").alias("max_position"),
     )
 
 
@@ -105,7 +105,7 @@ class SessionJob:
         )
         if beats is None:
             return None
-        combined = combinations(beats, described, F.max("position").alias("max_position"))
+        combined = combinations(beats, described)
         sessions = session_statistics(combined, described).where(
             F.col("content_id").isNotNull() & F.col("start_timestamp").isNotNull()
         )
@@ -157,12 +157,13 @@ class DecileJob:
         beats = union_present(session_rows(self.feed, raw, [MOBILE_COLUMN], seen) for raw in read(self.feed))
         if beats is None:
             return None
-        combined = combinations(beats, described, F.bit_or("bit").alias("bits"))
-        # The start is the whole session's, rows without content included.
-        starts = combined.groupBy(*SESSION).agg(F.min("first_beat").alias("start_timestamp"))
-        timed = left_join_sharded(
-            combined.where(F.col("content_id").isNotNull()), starts, SESSION, [F.col("session_id")]
-        )
+        shown = beats.where(F.col("content_id").isNotNull())
+        combined = shown.groupBy(*SESSION, *described).agg(F.bit_or("bit").alias("bits"))
+        # The start is the whole session's, rows without content included. It comes from a second
+        # scan of only the session and the time: a window over a session's combinations would
+        # put all of a hot session into one task.
+        starts = beats.groupBy(*SESSION).agg(F.min("received_at").alias("start_timestamp"))
+        timed = left_join_sharded(combined, starts, SESSION, [F.col("session_id")])
         matched = with_user_key(timed, USER, users, [*SESSION, "anonymous_id"])
         resolved = matched.select(
             *SESSION,

@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Recording the call site of each of a job's many column expressions takes longer than its plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -112,13 +111,14 @@ class EventLake:
         # Spark reads the footers of a day in one job; only the resulting schemas come here.
         with ThreadPoolExecutor(SCHEMA_READS) as pool:
             schemas = list(pool.map(lambda day: self._day_schema(base, day), wanted))
-        by_schema: dict[str, list[date]] = defaultdict(list)
+        by_schema: dict[tuple, list[date]] = defaultdict(list)
         for day, schema in zip(wanted, schemas, strict=True):
             if schema is not None:
-                by_schema[schema.json()].append(day)
+                by_schema[tuple(sorted((column.name, column.dataType.json()) for column in schema))].append(day)
+        found = dict(zip(wanted, schemas, strict=True))
         slices = []
-        for text, same in by_schema.items():
-            schema = StructType.fromJson(json.loads(text))
+        for same in by_schema.values():
+            schema = StructType(found[same[0]].fields)
             for part in ("year", "month", "day"):
                 schema = schema.add(part, "string")
             rows = read_parquet(self.spark, days_glob(base, same), schema, base)

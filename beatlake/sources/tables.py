@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from beatlake.sources.dates import days_glob
 from beatlake.sources.lake import read_parquet
@@ -13,20 +15,54 @@ from beatlake.sources.lake import read_parquet
 DAY_COLUMNS = ("year", "month", "day")
 
 
+def _by_day(rows: DataFrame) -> DataFrameWriter:
+    """Rows gathered by day into files of the advisory size.
+
+    Adaptive execution splits big days over many tasks and joins small ones, whatever the number
+    of upstream tasks was.
+    """
+    return rows.hint("rebalance", *DAY_COLUMNS).write.partitionBy(*DAY_COLUMNS)
+
+
 def write_days(rows: DataFrame, path: str) -> None:
     """Replace the day partitions that ``rows`` contains and leave the others alone.
 
-    The rebalance gathers each day into files of the advisory size, splitting big days over
-    many tasks, whatever the number of upstream tasks was. Days come from the event times, so
-    a late event replaces its whole older day; publish such runs with a merge instead.
+    Days come from the event times, so a late event replaces its whole older day; see
+    ``write_run_days`` for runs that may hold some.
+    """
+    _by_day(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def day_label() -> Column:
+    """A row's day as text; without a time it is no day's."""
+    return F.concat_ws("-", F.col("year").cast("string"), "month", "day")
+
+
+def written_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table as written, month and day as text whatever partition types the session infers."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def write_run_days(rows: DataFrame, path: str, incoming: str, days: Sequence[date], keys: Sequence[str]) -> list[date]:
+    """Replace the run's own days; add rows of other days to theirs, unless their keys are there.
+
+    The rows are written once to ``incoming`` and both steps read them back from there, so the
+    job itself is computed once. Returns the other days that got rows; only the few names of
+    days come to the driver.
     """
-    (
-        rows.hint("rebalance", *DAY_COLUMNS)
-        .write.partitionBy(*DAY_COLUMNS)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    spark, schema = rows.sparkSession, rows.schema
+    _by_day(rows).mode("overwrite").parquet(incoming)
+    arrived = written_rows(spark, incoming, schema)
+    own = day_label().isin([day.isoformat() for day in days])
+    write_days(arrived.where(own), path)
+    late = arrived.where(~own)
+    labels = [row.label for row in late.select(day_label().alias("label")).distinct().collect()]
+    if labels:
+        there = written_rows(spark, path, schema).where(day_label().isin(labels)).select(*keys, *DAY_COLUMNS)
+        same = [late[name].eqNullSafe(there[name]) for name in DAY_COLUMNS] + [late[name] == there[name] for name in keys]
+        fresh = late.join(there, same, "left_anti")
+        _by_day(fresh).mode("append").parquet(path)
+    return sorted(date.fromisoformat(label) for label in labels if "null" not in label)
 
 
 def write_snapshot(rows: DataFrame, path: str) -> None:

@@ -1,0 +1,68 @@
+"""The session jobs written the long way: what tests compare with and the bench measures against.
+
+One aggregate and one join per statistic, distinct sums, and keyed deduplication at the end.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from beatlake.sources.lake import PLATFORM
+
+USER = f"CASE WHEN {PLATFORM} IN ('ios', 'android') THEN user_id ELSE user_uuid END"
+TIER = """CASE WHEN user_tier IS NULL AND user_key IS NULL THEN 'anon' WHEN user_tier IS NULL THEN 'free'
+ WHEN lower(user_tier) = 'first' THEN 'premium' WHEN lower(user_tier) = 'free' AND user_key IS NULL THEN 'anon'
+ ELSE lower(user_tier) END"""
+SESSION = [PLATFORM, "session_id"]
+
+
+def with_users(rows: DataFrame, users: DataFrame) -> DataFrame:
+    return rows.join(users.withColumnRenamed("user_id", "uid"), "uid", "left")
+
+
+def sessions(heartbeats: DataFrame, users: DataFrame) -> DataFrame:
+    """Every row a session may be represented by; a deduplication on platform and id picks one."""
+    rows = heartbeats.withColumn("uid", F.expr(USER))
+    combined = rows.select(*SESSION, "content_id", "anonymous_id", "user_tier", "uid", "on_mobile_device").distinct()
+    for statistic in (
+        F.count("*").alias("beats"),
+        F.min("received_at").alias("start_timestamp"),
+        F.max("received_at").alias("end_timestamp"),
+        F.max("position").alias("max_position"),
+    ):
+        combined = combined.join(rows.groupBy(*SESSION).agg(statistic), SESSION, "left")
+    return with_users(combined, users).where("session_id IS NOT NULL").selectExpr(
+        "concat(session_id, date_format(start_timestamp, 'yyyyMMdd')) AS session_id",
+        "user_key",
+        f"{TIER} AS user_tier",
+        "anonymous_id",
+        "content_id AS episode_key",
+        "beats * 30 AS active_seconds",
+        "start_timestamp",
+        "end_timestamp",
+        "unix_timestamp(end_timestamp) - unix_timestamp(start_timestamp) + 30 AS duration_seconds",
+        "max_position",
+        f"{PLATFORM} AS platform",
+        "on_mobile_device",
+    )
+
+
+def deciles(heartbeats: DataFrame, users: DataFrame) -> DataFrame:
+    percent = "CAST(round(round(try_cast(percentage_watched AS FLOAT), 4) * CAST(100 AS FLOAT), 0) AS INT)"
+    tenth = f"floor({percent} / 10)"
+    starts = heartbeats.groupBy("session_id").agg(F.min("received_at").alias("start_timestamp"))
+    rows = heartbeats.withColumn("uid", F.expr(USER)).join(starts, "session_id", "left")
+    described = with_users(rows, users).where("session_id IS NOT NULL AND content_id IS NOT NULL").selectExpr(
+        "session_id",
+        "user_key",
+        f"{TIER} AS user_tier",
+        "anonymous_id",
+        "content_id AS episode_key",
+        "start_timestamp",
+        f"{PLATFORM} AS platform",
+        "on_mobile_device",
+        f"CASE WHEN {tenth} BETWEEN 1 AND 10 THEN CAST(pow(10, {tenth} - 1) AS BIGINT) ELSE 0 END AS weight",
+    )
+    keys = [name for name in described.columns if name != "weight"]
+    return described.groupBy(*keys).agg(F.sum_distinct("weight").alias("decile"))

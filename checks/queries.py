@@ -189,7 +189,7 @@ def scalar_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapters.raw_subscriptions(spark, sf_dir).rows
     return rows.select(
         "id",
-        rules.whole_number(F.col("amount_cents")).alias("amount_cents"),
+        rules.whole_number(F.col("amount_cents"), "string").alias("amount_cents"),
         F.col("trial").try_cast("boolean").alias("trial"),
         F.col("stripe_user").try_cast("boolean").alias("stripe_user"),
         F.col("end_timestamp").try_cast("timestamp").alias("end_timestamp"),
@@ -213,7 +213,7 @@ def beats_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def combined_beats(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = ["content_id", "anonymous_id", USER, "user_tier", MOBILE_COLUMN]
-    return combinations(beats_of(spark, sf_dir), described, F.max("position").alias("max_position"))
+    return combinations(beats_of(spark, sf_dir), described)
 
 
 def session_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,11 +429,11 @@ def publish_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of one job, the second over all days, each written and published."""
     job = JOBS["signup_button_clicked"]
     folder = scratch(spark)
+    target = ParquetTarget(spark, f"{folder}/warehouse/{job.name}")
     for dates in (SECOND_HALF, WHOLE_MONTH):
         run = lake_run(spark, sf_dir, dates, f"{folder}/processed")
-        run.process([job])
-        run.publish(job, warehouse_root=f"{folder}/warehouse")
-    return spark.read.parquet(f"{folder}/warehouse/{job.name}")
+        run.publish(job, target, run.process(job))
+    return target.read()
 
 
 COUNTED_GROUPS = ("gate_backfill", "onboarding_backfill", "community_backfill", "experiments", "sandbox", "core")

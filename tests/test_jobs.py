@@ -5,13 +5,14 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from beatlake.operators.merge import ParquetTarget
 from beatlake.plans.model import Feed
 from beatlake.plans.registry import GROUPS, JOBS, jobs_named
 from beatlake.plans.runs import Run, row_counts
 from beatlake.sources.dates import run_dates
 from beatlake.sources.lake import PLATFORM, RUN_DATE, EventLake, Slice, load_users
 from beatlake.sources.tables import write_days, write_snapshot
-from checks import adapters
+from checks import adapters, longform
 from checks.queries import read_adapter, without
 
 SMALL = "/root/testdata/sf0.001"
@@ -150,36 +151,23 @@ def test_vod_sessions_per_platform_and_day(spark):
     assert rows_of(found.groupBy("platform", "on_mobile_device").count()) == [("ios", True, 3), ("lr_roku", False, 6)]
 
 
-def long_form_sessions(heartbeats, users):
-    """Sessions the long way: every statistic joined back to the distinct combinations, one by one."""
-    by_session = heartbeats.groupBy("session_id")
-    combined = heartbeats.select(
-        "session_id", "content_id", "anonymous_id", "user_tier", "user_id", "on_mobile_device"
-    ).distinct()
-    for statistic in (
-        F.count("*").alias("beats"), F.min("received_at").alias("start"), F.max("received_at").alias("end"),
-        F.max("position").alias("max_position"),
-    ):
-        combined = combined.join(by_session.agg(statistic), "session_id", "left")
-    return combined.join(users, "user_id", "left").selectExpr(
-        "concat(session_id, date_format(start, 'yyyyMMdd')) AS session_id", "beats * 30 AS active_seconds",
-        "start", "end", "unix_timestamp(end) - unix_timestamp(start) + 30 AS duration_seconds", "max_position",
-        "content_id AS episode_key", "user_key",
-    ).where("session_id IS NOT NULL")
-
-
-def test_vod_sessions_equal_the_long_form(spark):
-    """Per session the totals agree, and the row that stands for it is one of the long form's."""
-    job = JOBS["vod_sessions"]
-    raw = adapters.raw_heartbeats(spark, SMALL, ("ios",))
+@pytest.mark.parametrize("platforms", [("ios",), ("web", "ios", "lr_roku")])
+def test_vod_sessions_equal_the_long_form(spark, platforms):
+    """Every session of the long form is there, with one of the rows the long form allows."""
+    raw = adapters.raw_heartbeats(spark, SMALL, platforms)
     users = adapters.users(spark, SMALL)
-    long = long_form_sessions(raw.rows, users)
-    found = job.build(lambda feed: [raw], users).select(
-        "session_id", "active_seconds", F.col("start_timestamp").alias("start"), F.col("end_timestamp").alias("end"),
-        "duration_seconds", "max_position", "episode_key", "user_key",
-    )
-    assert found.count() == long.where("episode_key IS NOT NULL").select("session_id").distinct().count() > 50
-    assert found.exceptAll(long.distinct()).count() == 0
+    allowed = longform.sessions(raw.rows, users)
+    found = JOBS["vod_sessions"].build(lambda feed: [raw], users).select(*allowed.columns)
+    described = allowed.where("episode_key IS NOT NULL").select("platform", "session_id").distinct()
+    assert found.count() == described.count() > 50
+    assert found.exceptAll(allowed.distinct()).count() == 0
+
+
+def test_vod_deciles_equal_the_long_form(spark):
+    raw = adapters.raw_heartbeats(spark, SMALL, ("web",))
+    users = adapters.users(spark, SMALL)
+    wanted = longform.deciles(raw.rows, users)
+    assert rows_of(JOBS["vod_deciles"].build(lambda feed: [raw], users).select(*wanted.columns)) == rows_of(wanted)
 
 
 def test_vod_deciles(spark):
@@ -293,19 +281,58 @@ def test_unreadable_input_is_an_error(lake, spark, tmp_path):
 
 
 def test_process_and_publish_twice(lake, spark, tmp_path):
-    job = JOBS["signup_button_clicked"]
+    job, other = JOBS["signup_button_clicked"], JOBS["click_event"]
     run = Run(spark, lake.root, str(tmp_path / "out"), (DAY_1, DAY_2))
+    target = ParquetTarget(spark, str(tmp_path / "house"))
     for _ in range(2):
-        run.process([job, JOBS["click_event"]])
-        run.publish(job, warehouse_root=str(tmp_path / "house"))
-        run.publish(JOBS["click_event"], warehouse_root=str(tmp_path / "house"))
-    published = spark.read.parquet(str(tmp_path / "house" / job.name))
+        assert run.process(other) == run.process(job) == []
+        run.publish(job, target)
+        run.publish(other, ParquetTarget(spark, str(tmp_path / "nothing")))
+    published = target.read()
     assert published.columns == list(job.column_list)
     assert rows_of(published.groupBy("event_id", "location").count()) == [("m1", "top", 1), ("m2", "home", 1)]
     assert not (tmp_path / "out/click_event").exists()
+    assert not (tmp_path / "nothing").exists()
     assert load_users(spark, run.path("dim_user")).columns == ["user_key", "user_id"]
 
 
+def day_table(spark, run, job):
+    return rows_of(spark.read.parquet(run.path(job.name)).select("event_id", "location", "platform", F.col("day").cast("int")))
+
+
+def test_late_events_do_not_replace_their_day(lake, spark, tmp_path):
+    """The second day's run holds an event of the first day, whose id the first run has already."""
+    job = JOBS["signup_button_clicked"]
+    first, second = (Run(spark, lake.root, str(tmp_path / "out"), (day,)) for day in (DAY_1, DAY_2))
+    assert first.process(job) == []
+    before = day_table(spark, first, job)
+    for _ in range(2):
+        assert second.process(job) == [DAY_1]
+        later = [("m2", "home", "ios", 2), ("m2", "home", "web", 2)]
+        assert day_table(spark, second, job) == sorted(before + later, key=repr)
+    second.process(job, replace_late_days=True)
+    replaced = [("m1", "late", "ios", 1), ("m1", "late", "web", 1)]
+    assert day_table(spark, second, job) == sorted(replaced + later, key=repr)
+
+
+def test_late_events_reach_a_day_that_has_no_table_yet(lake, spark, tmp_path):
+    job = JOBS["signup_button_clicked"]
+    run = Run(spark, lake.root, str(tmp_path / "out"), (DAY_2,))
+    target = ParquetTarget(spark, str(tmp_path / "house"))
+    run.publish(job, target, run.process(job))
+    assert rows_of(target.read().groupBy("event_id", "location").count()) == [("m1", "late", 1), ("m2", "home", 1)]
+
+
+def test_command_line(lake, spark, tmp_path, monkeypatch):
+    from beatlake.__main__ import main
+
+    arguments = ["beatlake", "signup_button_clicked", "--dates", "2024-01-02::2024-01-01", "--lake", lake.root]
+    arguments += ["--processed", str(tmp_path / "out"), "--warehouse", str(tmp_path / "house")]
+    monkeypatch.setattr("sys.argv", arguments)
+    main()
+    assert spark.read.parquet(str(tmp_path / "house/signup_button_clicked")).count() == 2
+
+
 def test_writing_days_leaves_other_days_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame(

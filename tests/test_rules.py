@@ -62,10 +62,14 @@ def test_missing_time_gives_text_null_for_month_and_day(spark):
 
 
 def test_whole_number_cuts_fractions_and_refuses_the_rest(spark):
-    values = ["12", " 12 ", "12.7", "-3.9", "7.", "n/a", "", "1e3", "12.7abc", "99999999999", None]
-    found = results(spark, values, "string", rules.whole_number)
-    assert found == [12, 12, 12, -3, 7, None, None, None, None, None, None]
-    assert results(spark, [1.5e7, 2.9, None], "double", rules.whole_number) == [15000000, 2, None]
+    values = ["12", " 12 ", "12.7", "-3.9", "7.", "0", "000000000000012", "n/a", "", "1e3", "12.7abc", None]
+    found = results(spark, values, "string", lambda c: rules.whole_number(c, "string"))
+    assert found == [12, 12, 12, -3, 7, 0, 12, None, None, None, None, None]
+    edges = ["2147483647", "2147483648", "-2147483648", "-2147483649", "99999999999"]
+    found = results(spark, edges, "string", lambda c: rules.whole_number(c, "string"))
+    assert found == [2147483647, None, -2147483648, None, None]
+    numbers = results(spark, [1.5e7, 2.9, None], "double", lambda c: rules.whole_number(c, "double"))
+    assert numbers == [15000000, 2, None]
 
 
 def test_deciles_follow_32_bit_rounding(spark):
