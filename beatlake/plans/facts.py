@@ -128,7 +128,7 @@ class SubscriptionJob:
             typed("stripe_user", "boolean"),
             typed("sent_at", "timestamp"),
             "user_id",
-            "received_at",
+            typed("received_at", "timestamp"),
         )
 
     def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:

@@ -14,7 +14,7 @@ from beatlake.operators.merge import merge
 from beatlake.plans.model import Job
 from beatlake.plans.registry import DUPLICATE_KEY_JOBS
 from beatlake.sources.lake import EventLake, load_users
-from beatlake.sources.tables import read_days, write_days, write_run_days
+from beatlake.sources.tables import read_days, write_days, write_run_days, write_snapshot
 
 
 @dataclass(frozen=True)
@@ -32,6 +32,10 @@ class Run:
     def path(self, table: str) -> str:
         return f"{self.processed_root.rstrip('/')}/{table}"
 
+    def export_users(self, users: DataFrame) -> None:
+        """Replace the user dimension the jobs join."""
+        write_snapshot(users, self.path("dim_user"))
+
     def build(self, job: Job) -> DataFrame | None:
         """The job's rows for all run dates as one plan; None if no input exists."""
         lake = EventLake(self.spark, self.lake_root)

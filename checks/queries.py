@@ -66,7 +66,8 @@ def read_adapter(spark: SparkSession, sf_dir: str, job: Job) -> Callable[[Feed],
 
 def run_job(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     job = JOBS[name]
-    return job.build(read_adapter(spark, sf_dir, job), adapters.users(spark, sf_dir))
+    users = adapters.users(spark, sf_dir) if job.needs_users else None
+    return job.build(read_adapter(spark, sf_dir, job), users)
 
 
 def without(raw: Slice, *names: str) -> Slice:

@@ -1,16 +1,23 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from beatlake.session import build_session  # noqa: E402
 
 
+def plain_session():
+    """A session as others make it, for running the queries under Spark's own settings."""
+    return SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session(
+    session = plain_session() if os.environ.get("CHECK_PLAIN_SESSION") else build_session(
         "tests",
         **{
             "spark.master": "local[8]",
