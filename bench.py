@@ -10,10 +10,10 @@ import json
 import os
 import time
 
+from beatlake.plans.registry import JOBS
 from beatlake.session import build_session
 from checks import adapters, longform
 from checks.queries import queries
-from beatlake.plans.registry import JOBS
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -52,13 +52,15 @@ def main() -> None:
     seconds(lambda: registered["click_event"](spark, SF_DIR))
     times = {name: best(lambda name=name: registered[name](spark, SF_DIR)) for name in HEADLINE}
 
-    users = adapters.users(spark, SF_DIR)
-    beats = adapters.raw_heartbeats(spark, SF_DIR, JOBS["vod_sessions"].feed.platforms).rows
-    web_beats = adapters.raw_heartbeats(spark, SF_DIR, ("web",)).rows
-    long_form = {
-        "vod_sessions": best(lambda: longform.sessions(beats, users).dropDuplicates(["platform", "session_id"])),
-        "vod_deciles": best(lambda: longform.deciles(web_beats, users)),
-    }
+    def long_sessions():
+        beats = adapters.raw_heartbeats(spark, SF_DIR, JOBS["vod_sessions"].feed.platforms).rows
+        return longform.sessions(beats, adapters.users(spark, SF_DIR)).dropDuplicates(["platform", "session_id"])
+
+    def long_deciles():
+        beats = adapters.raw_heartbeats(spark, SF_DIR, ("web",)).rows
+        return longform.deciles(beats, adapters.users(spark, SF_DIR))
+
+    long_form = {"vod_sessions": best(long_sessions), "vod_deciles": best(long_deciles)}
     print(
         json.dumps(
             {
