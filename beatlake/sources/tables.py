@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,13 +15,18 @@ from beatlake.sources.lake import read_parquet
 DAY_COLUMNS = ("year", "month", "day")
 
 
-def _by_day(rows: DataFrame) -> DataFrameWriter:
+def _by_day(rows: DataFrame) -> DataFrame:
     """Rows gathered by day into files of the advisory size.
 
     Adaptive execution splits big days over many tasks and joins small ones, whatever the number
     of upstream tasks was.
     """
-    return rows.hint("rebalance", *DAY_COLUMNS).write.partitionBy(*DAY_COLUMNS)
+    return rows.hint("rebalance", *DAY_COLUMNS)
+
+
+def _write(rows: DataFrame, path: str, mode: str, replaced: str = "static") -> None:
+    writer = rows.write.partitionBy(*DAY_COLUMNS).mode(mode)
+    writer.option("partitionOverwriteMode", replaced).parquet(path)
 
 
 def write_days(rows: DataFrame, path: str) -> None:
@@ -30,7 +35,7 @@ def write_days(rows: DataFrame, path: str) -> None:
     Days come from the event times, so a late event replaces its whole older day; see
     ``write_run_days`` for runs that may hold some.
     """
-    _by_day(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _write(_by_day(rows), path, "overwrite", "dynamic")
 
 
 def day_label() -> Column:
@@ -51,17 +56,18 @@ def write_run_days(rows: DataFrame, path: str, incoming: str, days: Sequence[dat
     days come to the driver.
     """
     spark, schema = rows.sparkSession, rows.schema
-    _by_day(rows).mode("overwrite").parquet(incoming)
+    _write(_by_day(rows), incoming, "overwrite")
     arrived = written_rows(spark, incoming, schema)
     own = day_label().isin([day.isoformat() for day in days])
-    write_days(arrived.where(own), path)
+    # The files are gathered by day already, so their rows go from scan to write without a shuffle.
+    _write(arrived.where(own), path, "overwrite", "dynamic")
     late = arrived.where(~own)
     labels = [row.label for row in late.select(day_label().alias("label")).distinct().collect()]
     if labels:
         there = written_rows(spark, path, schema).where(day_label().isin(labels)).select(*keys, *DAY_COLUMNS)
-        same = [late[name].eqNullSafe(there[name]) for name in DAY_COLUMNS] + [late[name] == there[name] for name in keys]
-        fresh = late.join(there, same, "left_anti")
-        _by_day(fresh).mode("append").parquet(path)
+        same = [late[name].eqNullSafe(there[name]) for name in DAY_COLUMNS]
+        same += [late[name] == there[name] for name in keys]
+        _write(_by_day(late.join(there, same, "left_anti")), path, "append")
     return sorted(date.fromisoformat(label) for label in labels if "null" not in label)
 
 

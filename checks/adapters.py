@@ -121,7 +121,9 @@ SUBSCRIPTION_COLUMNS = {
     "_event": cycle("o_orderkey", "created", "renewed", "cancelled"),
     "event_type": "o_orderstatus",
     "start_timestamp": "CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 08:00:00'",
-    "end_timestamp": "CASE WHEN o_orderkey % 6 = 0 THEN 'open' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 23:59:59' END",
+    "end_timestamp": (
+        "CASE WHEN o_orderkey % 6 = 0 THEN 'open' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 23:59:59' END"
+    ),
     "original_timestamp": (
         "CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'not a time' "
         "ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 10:11:12' END"

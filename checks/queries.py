@@ -16,13 +16,12 @@ from beatlake.operators.dedup import keep_first
 from beatlake.operators.joins import with_user_key
 from beatlake.operators.merge import ParquetTarget, first_per_key, merge
 from beatlake.plans.concurrents import bucket_counts
-from beatlake.plans.facts import FACT_VISITS, schema_user
+from beatlake.plans.facts import schema_user
 from beatlake.plans.model import MOBILE_COLUMN, Feed, Job
-from beatlake.plans.registry import GROUPS, JOBS, jobs_named
+from beatlake.plans.registry import JOBS, jobs_named
 from beatlake.plans.runs import Run, row_counts
 from beatlake.plans.sessions import (
     ALL_PLATFORMS,
-    SESSION,
     USER,
     combinations,
     platform_user,
@@ -124,7 +123,9 @@ def pick_user_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     tv = rules.TV_PLATFORMS
     slices = [on(raw, "android", "ios"), without(on(raw, "web"), "user_id"), without(on(raw, *tv), "user_id", "user_uuid")]
     picked = [
-        part.rows.select("id", "received_at", schema_user(part).alias("visit_user"), platform_user(part).alias("session_user"))
+        part.rows.select(
+            "id", "received_at", schema_user(part).alias("visit_user"), platform_user(part).alias("session_user")
+        )
         for part in slices
     ]
     return union_present(picked)
@@ -225,8 +226,8 @@ def session_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_stats_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = session_statistics(combined_beats(spark, sf_dir), ["content_id", "anonymous_id", USER, "user_tier", MOBILE_COLUMN])
-    return stats.select(
+    described = ["content_id", "anonymous_id", USER, "user_tier", MOBILE_COLUMN]
+    return session_statistics(combined_beats(spark, sf_dir), described).select(
         F.col(PLATFORM).alias("platform"), "session_id", "beats", "start_timestamp", "end_timestamp", "max_position",
         "content_id", "anonymous_id", F.col(USER).alias("user_id"), "user_tier", MOBILE_COLUMN,
     )
@@ -364,7 +365,8 @@ def published_days(spark: SparkSession, path: str) -> DataFrame:
 def sink_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days are written, then the second half of the month again with another label."""
     path = f"{scratch(spark)}/click_event"
-    rows = run_job(spark, sf_dir, "click_event").select("event_id", "event_timestamp", "platform", "year", "month", "day")
+    rows = run_job(spark, sf_dir, "click_event")
+    rows = rows.select("event_id", "event_timestamp", "platform", "year", "month", "day")
     write_days(rows, path)
     late = rows.where(F.dayofmonth("event_timestamp") >= 16)
     write_days(late.withColumn("platform", F.concat(F.col("platform"), F.lit(" again"))), path)

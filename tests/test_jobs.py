@@ -11,7 +11,7 @@ from beatlake.plans.registry import GROUPS, JOBS, jobs_named
 from beatlake.plans.runs import Run, row_counts
 from beatlake.sources.dates import run_dates
 from beatlake.sources.lake import PLATFORM, RUN_DATE, EventLake, Slice, load_users
-from beatlake.sources.tables import write_days, write_snapshot
+from beatlake.sources.tables import write_days
 from checks import adapters, longform
 from checks.queries import read_adapter, without
 
@@ -238,7 +238,8 @@ def lake(spark, tmp_path):
     write_raw(lake, "signup_button_clicked", "ios", base.where("day = '01'"))
     write_raw(lake, "signup_button_clicked", "ios", flagged.where("day = '02'"))
     write_raw(lake, "signup_button_clicked", "web", flagged)
-    write_snapshot(spark.createDataFrame([(1, "u1", "x")], "user_key int, user_id string, name string"), str(tmp_path / "out/dim_user"))
+    users = spark.createDataFrame([(1, "u1", "x")], "user_key int, user_id string, name string")
+    Run(spark, lake.root, str(tmp_path / "out"), ()).export_users(users)
     return lake
 
 
@@ -297,7 +298,8 @@ def test_process_and_publish_twice(lake, spark, tmp_path):
 
 
 def day_table(spark, run, job):
-    return rows_of(spark.read.parquet(run.path(job.name)).select("event_id", "location", "platform", F.col("day").cast("int")))
+    table = spark.read.parquet(run.path(job.name))
+    return rows_of(table.select("event_id", "location", "platform", F.col("day").cast("int")))
 
 
 def test_late_events_do_not_replace_their_day(lake, spark, tmp_path):
