@@ -21,7 +21,9 @@ from beatlake.sources.tables import read_days, write_days, write_run_days, write
 class Run:
     """A set of run dates over a raw lake and a folder of processed tables.
 
-    ``processed/dim_user`` holds the user dimension, ``processed/<job>`` the day tables.
+    ``processed/dim_user`` holds the user dimension, ``processed/<job>`` the day tables and
+    ``processed/_incoming/<job>`` the rows of the job's latest run. Two runs of one job must not
+    overlap; a run that failed half-way is simply run again.
     """
 
     spark: SparkSession
