@@ -8,15 +8,15 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_points
+from checks import oracles, queries
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
 # Spark's type names of DuckDB's.
 SAME_TYPE = {
     "VARCHAR": {"string"}, "BIGINT": {"bigint"}, "INTEGER": {"int"}, "DOUBLE": {"double"},
