@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +17,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 LOWER_ASCII = bytes(byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
+SAMPLE_BYTES = 1 << 18
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -80,6 +81,7 @@ def labelled_sample(
     rows = (
         documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
         .join(F.broadcast(ids), "doc_id")  # 2 x limit rows at most
+        .where(F.octet_length("text") <= SAMPLE_BYTES)  # longer texts are not learned from, so the sample is bounded
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.first("label").alias("label"))
         .collect()
@@ -100,4 +102,43 @@ def free_name(wanted: str, taken: list[str]) -> str:
     return wanted
 
 
-HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
+class Codes(dict):
+    """Numbers of words by a rule, remembered; forgotten when there are too many, so that memory stays bounded."""
+
+    LIMIT = 500_000
+
+    def __init__(self, rule: Callable[[bytes], int]) -> None:
+        super().__init__()
+        self.rule = rule
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        self[word] = code = self.rule(word)
+        return code
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A very long text in pieces that end at a space, or where there is none within ``size`` bytes, anywhere."""
+    begin = 0
+    while len(text) - begin > size:
+        end = max(text.rfind(b" ", begin, begin + size), text.rfind(b"\n", begin, begin + size)) + 1
+        end = end or begin + size
+        yield text[begin:end]
+        begin = end
+    yield text[begin:]
+
+
+def scrambled(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers spread over all bits."""
+    values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    values = (values ^ (values >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return values ^ (values >> np.uint64(33))
+
+
+def sigmoid(values: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(values, -30, 30)))
+

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatlake.llm import decontaminate, mixing, rules, simhash, substrings, warc
+from beatlake.llm import decontaminate, html, langid, mixing, quality, rules, simhash, substrings, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -25,10 +33,18 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judged(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,9 +56,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_toxicity": op2_toxicity,
+        "op3_quality_classifier": op3_quality_classifier,
         "op4_simhash": op4_simhash,
         "op5_decontaminate": op5_decontaminate,
+        "op6_html_extraction": op6_html_extraction,
         "op7_substrings": op7_substrings,
+        "op8_language_id": op8_language_id,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
     }
