@@ -30,6 +30,7 @@ BATCH = 256
 RATE = 0.02
 REMEMBERED = 200_000
 AT_ONCE = 1 << 13
+TEXTS_AT_ONCE = 512
 UNKNOWN = "und"
 LETTER = re.compile(rb"[A-Za-z]")
 LETTERS = re.compile(rb"[A-Za-z\x80-\xff]")
@@ -46,7 +47,14 @@ def parts_of(word: bytes) -> list[bytes]:
 
 def _hard(values: np.ndarray) -> np.ndarray:
     """A sigmoid of three straight lines, which costs a fraction of the smooth one."""
-    return np.clip(values * np.float32(0.25) + np.float32(0.5), 0, 1)
+    values = values * np.float32(0.25)
+    values += np.float32(0.5)
+    return _clipped(values, np.float32(0))
+
+
+def _clipped(values: np.ndarray, least: np.float32) -> np.ndarray:
+    np.maximum(values, least, out=values)
+    return np.minimum(values, np.float32(1), out=values)
 
 
 @dataclass
@@ -66,7 +74,7 @@ class Direction:
             gates = _hard(given[:, : 2 * HIDDEN] + now @ self.state)
             update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
             gated = reset * now
-            new = np.clip(given[:, 2 * HIDDEN :] + gated @ self.candidate, -1, 1)
+            new = _clipped(given[:, 2 * HIDDEN :] + gated @ self.candidate, np.float32(-1))
             after = now + update * (new - now)
             if keep is not None:
                 keep.append((now, update, reset, gated, new, codes[:, step]))
@@ -219,7 +227,7 @@ class Reader:
         total = np.zeros(self.sums.shape[1])
         for piece in pieces(text):
             words = [part for word in piece.split() for part in (parts_of(word) if len(word) > MAX_BYTES else (word,))]
-            if len(self.place) > REMEMBERED:
+            if len(self.place) > 2 * REMEMBERED:  # only very long texts get here
                 self.forget()
             self.read(set(words))
             where = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
@@ -233,11 +241,11 @@ def _predictor(model: LanguageModel | None) -> Callable[[Iterator[pa.RecordBatch
         for batch in batches:
             values = [text.as_py() for text in batch.column(1)]
             if reader:  # the new words of all texts together make long rows of equal lengths
-                for begin in range(0, len(values), 256):
+                for begin in range(0, len(values), TEXTS_AT_ONCE):
                     if len(reader.place) > REMEMBERED:
                         reader.forget()
-                    reader.read({w for text in values[begin : begin + 256] if text and len(text) < 1 << 20 for w in text.split() if len(w) <= MAX_BYTES})
-                    _fill(reader, values, begin, begin + 256)
+                    reader.read({w for text in values[begin : begin + TEXTS_AT_ONCE] if text and len(text) < 1 << 20 for w in text.split() if len(w) <= MAX_BYTES})
+                    _fill(reader, values, begin, begin + TEXTS_AT_ONCE)
             rows = [(UNKNOWN, 0.0) if not reader or value is None else value for value in values]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([lang for lang, _ in rows], pa.string()), pa.array([score for _, score in rows], pa.float64())],
