@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import crc_fold, pieces
+from beatlake.llm.common import crc_fold, lowest, pieces
 
 HIDDEN = 16
 MAX_BYTES = 24  # longer words are read in parts
@@ -274,10 +274,10 @@ def sampled(documents: DataFrame, learn_from: Column, limit: int = SAMPLE_TEXTS)
     ids = known.select("doc_id", F.col("lang").cast("string").alias("lang"), turn)
     kept = []
     for row in ids.select("lang").distinct().orderBy("lang").collect():
-        kept += ids.where(F.col("lang") == row.lang).orderBy("turn", "doc_id").limit(limit).select("doc_id", "lang").collect()
+        kept += [(own.doc_id, own.lang) for own in lowest(ids.where(F.col("lang") == row.lang), limit, "doc_id")]
     if not kept:
         return []
-    chosen = F.broadcast(documents.sparkSession.createDataFrame([tuple(row) for row in kept], "doc_id long, lang string").distinct())
+    chosen = F.broadcast(documents.sparkSession.createDataFrame(kept, "doc_id long, lang string").distinct())
     rows = (
         known.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text"))
         .join(chosen, ["doc_id", "lang"])

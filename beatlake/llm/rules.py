@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import SPACE_CLASS, SPACES, free_name, saved
+from beatlake.llm.common import SPACE_CLASS, SPACES, free_name, lowest, saved
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -149,11 +149,11 @@ def learn(rated: DataFrame, labels: DataFrame, prefix: str = "", limit: int = LI
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
     )
     numbers = rated.where(~base_failed(prefix)).select("doc_id", *[F.col(f"{prefix}{name}").alias(name) for name in names])
-    joined = numbers.join(truth, "doc_id").withColumn("turn", F.xxhash64("doc_id"))
+    joined = saved(numbers.join(truth, "doc_id").withColumn("turn", F.xxhash64("doc_id")), "rules-labelled")
     rows = [
         (row.turn, row.label == 0, {f"{prefix}{name}": row[name] for name in names})
         for value in (0, 1)
-        for row in joined.where(F.col("label") == value).orderBy("turn", *names).limit(limit).collect()
+        for row in lowest(joined.where(F.col("label") == value), limit, *names)
     ]
     grow = [(bad, row) for turn, bad, row in rows if turn % 3]
     prune = [(bad, row) for turn, bad, row in rows if not turn % 3]

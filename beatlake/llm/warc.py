@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import saved
+from beatlake.llm.common import lowest, saved
 
 DICTIONARY_MAGIC = 0x184D2A5D  # a skippable frame's, the one that holds a dictionary
 DICTIONARY_BYTES = 64 << 10
@@ -101,16 +101,18 @@ def parse_record(data: bytes) -> Record:
     )
 
 
-def dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES, sample: int = SAMPLE_PAGES) -> bytes:
-    """A dictionary of at most ``size`` bytes from at most ``sample`` records; empty where there are too few."""
-    html = F.col("html").cast("binary")
-    rows = (
-        pages.where((F.octet_length(html) > 0) & (F.octet_length(html) <= SAMPLE_PAGE_BYTES))
-        .select("page_id", "url", html.alias("html"), F.xxhash64("page_id", html).alias("turn"))
-        .orderBy("turn", "page_id", "url")
-        .limit(sample)
-        .collect()
-    )
+def dictionary(numbered: DataFrame, size: int = DICTIONARY_BYTES, sample: int = SAMPLE_PAGES) -> bytes:
+    """A dictionary of at most ``size`` bytes from at most ``sample`` records; empty where there are too few.
+
+    ``numbered`` has row, page_id, url and html as bytes.
+    """
+    turns = F.xxhash64("row")
+    small = (F.octet_length("html") > 0) & (F.octet_length("html") <= SAMPLE_PAGE_BYTES)
+    chosen = [(row.row,) for row in lowest(numbered.where(small).select("row", turns.alias("turn")), sample, "row")]
+    if not chosen:
+        return b""
+    ids = F.broadcast(numbered.sparkSession.createDataFrame(chosen, "row long"))
+    rows = numbered.join(ids, "row").select("row", "page_id", "url", "html").orderBy("row").collect()
     records = [
         record_bytes(Record(row.page_id, row.url, bytes(row.html), len(row.html), sha256(row.html).hexdigest())) for row in rows
     ]
