@@ -45,6 +45,19 @@ def saved(frame: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unique_ids(documents: DataFrame) -> bool:
+    """Whether every row has an id and no two have the same."""
+    rows, ids = documents.agg(F.count("*"), F.countDistinct("doc_id")).first()
+    return rows == ids
+
+
+def numbered_rows(documents: DataFrame, row: str, name: str) -> DataFrame:
+    """The rows with a unique long: their ids where those are unique, else numbers in a written table."""
+    if unique_ids(documents):
+        return documents.withColumn(row, F.col("doc_id").cast("long"))
+    return saved(documents.withColumn(row, F.monotonically_increasing_id()), name)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Removes a table of this run that nothing reads any more."""
     jvm = spark._jvm

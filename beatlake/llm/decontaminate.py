@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import free_name, saved
+from beatlake.llm.common import free_name, numbered_rows, saved
 
 WINDOW_WORDS = 13
 BLOCK_BYTES = 32 << 20
@@ -197,7 +197,7 @@ def judge(documents: DataFrame, benchmark: DataFrame, **settings: int) -> DataFr
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, **settings: int) -> DataFrame:
     """The documents that are not contaminated, with all their columns; each row is judged by its own text."""
     row = free_name("decontaminate_row", documents.columns)
-    numbered = saved(documents.withColumn(row, F.monotonically_increasing_id()), "decontaminate-documents")
+    numbered = numbered_rows(documents, row, "decontaminate-documents")
     verdicts = judge(numbered.select(F.col(row).alias("doc_id"), "text"), benchmark, **settings)
     gone = saved(verdicts.where("contaminated").select(F.col("doc_id").alias(row)), "decontaminate-gone")
     return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{name}`") for name in documents.columns])

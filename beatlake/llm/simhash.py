@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from beatlake.llm.common import LOWER_ASCII, free_name, saved, words_of
+from beatlake.llm.common import LOWER_ASCII, free_name, numbered_rows, saved, words_of
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -209,7 +209,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each group, that with the least id (NULL last; of repeated rows one), with its columns."""
     row = free_name("simhash_row", documents.columns)
-    numbered = saved(documents.withColumn(row, F.monotonically_increasing_id()), "simhash-documents")
+    numbered = numbered_rows(documents, row, "simhash-documents")
     rows = saved(fingerprints(numbered.select(row, "text"), row), "simhash-fingerprints")
     ids = numbered.select(F.col(row).alias("row"), F.col("doc_id"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import free_name, new_path, removed, saved
+from beatlake.llm.common import free_name, new_path, removed, saved, unique_ids
 
 LENGTH = 100
 GRAM = 32
@@ -226,11 +226,6 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush(held)
 
 
-def _unique_ids(documents: DataFrame) -> bool:
-    rows, ids = documents.agg(F.count("*"), F.countDistinct("doc_id")).first()
-    return rows == ids
-
-
 def ordered(documents: DataFrame) -> DataFrame:
     """row (a unique long in the order of the ids), doc_id and data; NULL ids come first, equal ids by text.
 
@@ -239,7 +234,7 @@ def ordered(documents: DataFrame) -> DataFrame:
     source = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data")
     )
-    if _unique_ids(documents):
+    if unique_ids(documents):
         return source.select(F.col("doc_id").alias("row"), "doc_id", "data")
     return saved(
         source.orderBy("doc_id", "data").select(F.monotonically_increasing_id().alias("row"), "doc_id", "data"), "substrings-rows"
@@ -354,7 +349,7 @@ def cut_repeats(documents: DataFrame) -> DataFrame:
     """
     names = documents.columns
     row, new = free_name("substrings_row", names), free_name("substrings_text", names)
-    if _unique_ids(documents):
+    if unique_ids(documents):
         numbered = documents.withColumn(row, F.col("doc_id").cast("long"))
     else:  # numbered in the order of the ids, as one table that all steps read
         numbered = saved(documents.orderBy("doc_id", "text").withColumn(row, F.monotonically_increasing_id()), "substrings-documents")
