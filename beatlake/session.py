@@ -34,7 +34,12 @@ def _own_folder(application: str) -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only where none is named (tests, one machine) is it a temporary one, kept for the session.
+    Only where none is named and all runs in one process (tests) is it a temporary one, kept for the session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else _own_folder(spark.sparkContext.applicationId)
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir has to name a folder that all executors of {master} share")
+    return _own_folder(spark.sparkContext.applicationId)
