@@ -1,8 +1,8 @@
 """Quality rules as a learned decision list, applied as one ordered Spark conditional expression.
 
 Sequential covering: a conjunction of thresholds is grown on two thirds of the labelled statistics, pruned on
-the rest, and kept if it is precise there; the rows that it covers leave, and the next one is grown. The list
-rejects a document at the first conjunction that holds and keeps it if none does.
+the rest, and kept if it is precise there and on all; the rows that it covers leave, and the next one is grown.
+A threshold lies halfway between two neighbouring values; every such place is tried. The list rejects a document at the first conjunction that holds and keeps it if none does.
 
 Statistics are built-in expressions over each text; only labelled statistics (numbers, at most ``LIMIT`` rows
 a class) come to the driver.
@@ -27,7 +27,6 @@ MAX_RULES = 12
 MAX_CONDITIONS = 4
 MIN_PRECISION = 0.9
 MIN_COVER = 5
-CUTS = 48
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Shares that rules are learned from; counts alone would make every long text look alike.
 SHARES = {
@@ -148,8 +147,12 @@ def learn(rated: DataFrame, labels: DataFrame, prefix: str = "", limit: int = LI
     truth = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
     )
-    numbers = rated.where(~base_failed(prefix)).select("doc_id", *[F.col(f"{prefix}{name}").alias(name) for name in names])
+    # Filtered only once written: a filter that Spark pushes below the statistics repeats them for every window.
+    numbers = rated.select(
+        "doc_id", base_failed(prefix).alias("failed"), *[F.col(f"{prefix}{name}").alias(name) for name in names]
+    )
     joined = saved(numbers.join(truth, "doc_id").withColumn("turn", F.xxhash64("doc_id")), "rules-labelled")
+    joined = joined.where("NOT failed")
     rows = [
         (row.turn, row.label == 0, {f"{prefix}{name}": row[name] for name in names})
         for value in (0, 1)
@@ -163,7 +166,10 @@ def learn(rated: DataFrame, labels: DataFrame, prefix: str = "", limit: int = LI
         if not rule:
             break
         hit = [bad for bad, row in grow + prune if _all(rule, row)]
-        if len(hit) < MIN_COVER or sum(hit) < MIN_PRECISION * len(hit):
+        unseen = [bad for bad, row in prune if _all(rule, row)]
+        if len(hit) < MIN_COVER or not unseen:
+            break
+        if sum(hit) < MIN_PRECISION * len(hit) or sum(unseen) < MIN_PRECISION * len(unseen):
             break
         rules.append(rule)
         grow = [(bad, row) for bad, row in grow if not _all(rule, row)]
@@ -193,16 +199,15 @@ def _grown(rows: list[tuple[bool, dict[str, float]]], names: list[str]) -> Rule:
         best, chosen = 0.0, None
         for name in names:
             ordered = sorted((row[name], bad) for bad, row in left)
-            cuts = {ordered[len(ordered) * k // CUTS][0] for k in range(1, CUTS)}
-            below = seen = 0
-            for at, (value, bad) in enumerate(ordered):
-                if value in cuts and (at == 0 or ordered[at - 1][0] != value):
+            below = 0
+            for seen, (value, bad) in enumerate(ordered):
+                before = ordered[seen - 1][0] if seen else value
+                if before < value:
                     for above, b, n in ((True, all_bad - below, len(left) - seen), (False, below, seen)):
                         gain = _gain(b, n - b, all_bad, all_good)
                         if gain > best:
-                            best, chosen = gain, Condition(name, above, value)
+                            best, chosen = gain, Condition(name, above, (before + value) / 2)
                 below += bad
-                seen += 1
         if chosen is None:
             break
         rule.append(chosen)
