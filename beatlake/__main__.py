@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from beatlake.operators.merge import ParquetTarget
+from beatlake.operators.merge import BucketedTarget, ParquetTarget
 from beatlake.plans.registry import jobs_named
 from beatlake.plans.runs import Run
 from beatlake.session import build_session
@@ -18,14 +18,24 @@ def main() -> None:
     parser.add_argument("--lake", required=True, help="root of the raw event lake")
     parser.add_argument("--processed", required=True, help="folder of the day tables")
     parser.add_argument("--warehouse", help="folder of the published tables; merges the days if given")
+    parser.add_argument("--database", help="catalog database of published tables bucketed by key; merges the days")
+    parser.add_argument("--buckets", type=int, default=512, help="buckets of a new table in the database")
+    parser.add_argument("--keep-null-keys", action="store_true", help="publish rows without a key, again on each run")
     options = parser.parse_args()
+    if options.warehouse and options.database:
+        parser.error("--warehouse and --database exclude each other")
 
     jobs = jobs_named(options.names)
     run = Run(build_session(), options.lake, options.processed, tuple(run_dates(options.dates)))
     for job in jobs:
         late = run.process(job)
         if options.warehouse:
-            run.publish(job, ParquetTarget(run.spark, f"{options.warehouse.rstrip('/')}/{job.name}"), late)
+            target = ParquetTarget(run.spark, f"{options.warehouse.rstrip('/')}/{job.name}")
+        elif options.database:
+            target = BucketedTarget(run.spark, f"{options.database}.{job.name}", job.key, options.buckets)
+        else:
+            continue
+        run.publish(job, target, late, options.keep_null_keys)
 
 
 if __name__ == "__main__":

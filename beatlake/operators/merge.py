@@ -12,11 +12,11 @@ from beatlake.operators.dedup import keep_first
 from beatlake.sources.lake import read_parquet
 
 
-def first_per_key(stage: DataFrame, key: str, sort_key: str, keep_null_keys: bool = True) -> DataFrame:
+def first_per_key(stage: DataFrame, key: str, sort_key: str, keep_null_keys: bool = False) -> DataFrame:
     """The earliest staged row of every key; a row without a time comes last.
 
-    Rows without a key count as one key. As such a row is never found in a published table,
-    every rerun would add it again; ``keep_null_keys=False`` leaves it out.
+    Rows without a key are left out: they are never found in a published table, so that every rerun would
+    add one. With ``keep_null_keys`` they count as one key.
     """
     if not keep_null_keys:
         stage = stage.where(F.col(key).isNotNull())
@@ -24,10 +24,17 @@ def first_per_key(stage: DataFrame, key: str, sort_key: str, keep_null_keys: boo
 
 
 def absent(stage: DataFrame, published: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Staged rows whose keys are not published. A NULL in a key never matches, so such rows stay."""
+    """Staged rows whose keys are not published. A NULL in a key never matches, so such rows stay.
+
+    An anti join could only broadcast its right side, all that was ever published. The published keys are
+    cut to the staged ones first: there the staged side is the right one, and while it is small Spark
+    broadcasts it and shuffles no history. What is left is no larger than the stage.
+    """
     if published is None:
         return stage
-    return stage.join(published.select(*keys), list(keys), "left_anti")
+    staged = stage.select(*keys).distinct()
+    there = published.select(*keys).join(staged, list(keys), "left_semi").distinct()
+    return stage.join(there, list(keys), "left_anti")
 
 
 @dataclass(frozen=True)
@@ -71,11 +78,15 @@ class BucketedTarget:
         writer.saveAsTable(self.table)
 
 
-def merge(stage: DataFrame, target, key: str, sort_key: str, with_dupes: bool = False, keep_null_keys: bool = True) -> None:
-    """Add to ``target`` what it lacks of ``stage``; a rerun with the same stage adds nothing
-    more, except rows without a key (see ``first_per_key``)."""
+def merge(stage: DataFrame, target, key: str, sort_key: str, with_dupes: bool = False, keep_null_keys: bool = False) -> None:
+    """Add to ``target`` what it lacks of ``stage``; a rerun with the same stage adds nothing more.
+
+    Rows that lack a key or, ``with_dupes``, a key or a time are left out, as no rerun would find them;
+    ``keep_null_keys`` adds them every time (see ``first_per_key``).
+    """
     if with_dupes:
-        rows, keys = stage, [key, sort_key]
+        keys = [key, sort_key]
+        rows = stage if keep_null_keys else stage.na.drop(subset=keys)
     else:
         rows, keys = first_per_key(stage, key, sort_key, keep_null_keys), [key]
     target.append(absent(target.aligned(rows), target.read(), keys))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from beatlake.functions.rules import date_parts
 from beatlake.operators.combine import union_present
 from beatlake.plans.model import Feed, ReadFeed
-from beatlake.sources.lake import PLATFORM, RUN_DATE
+from beatlake.sources.lake import PLATFORM
 
 BUCKET = "1 minute"
 BEATS_PER_MINUTE = 2
@@ -18,13 +18,15 @@ PLATFORMS = ("android", "ios", "web", "lr_apple", "lr_fire", "lr_roku", "lr_xbox
 
 
 def bucket_counts(beats: DataFrame, bucket: str = BUCKET) -> DataFrame:
-    """Heartbeats per platform and time bucket of an input day; empty buckets have no row.
+    """Heartbeats per platform and time bucket; empty buckets have no row.
 
-    Counts combine before the shuffle, which then moves one row per bucket and task.
+    Late beats count in the bucket they belong to, whichever input day of the run brought them: a bucket
+    per input day would give rows that share key and time, of which a merge keeps but one. Counts combine
+    before the shuffle, which then moves one row per bucket and task.
     """
     window = F.window("received_at", bucket)
     return (
-        beats.groupBy(RUN_DATE, PLATFORM, window)
+        beats.groupBy(PLATFORM, window)
         .agg(F.count("received_at").alias("beats"))
         .withColumn("start_timestamp", F.col("window.start"))
         .drop("window")
@@ -48,7 +50,7 @@ class ConcurrentsJob:
 
     def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
         beats = union_present(
-            raw.rows.select("received_at", PLATFORM, RUN_DATE) for raw in read(self.feed)
+            raw.rows.select("received_at", PLATFORM) for raw in read(self.feed)
         )
         if beats is None:
             return None

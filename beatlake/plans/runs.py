@@ -65,14 +65,14 @@ class Run:
         days = [*self.days, *late_days]
         return read_days(self.spark, self.path(job.name), days, job.column_list)
 
-    def publish(self, job: Job, target, late_days: Sequence[date] = ()) -> None:
+    def publish(self, job: Job, target, late_days: Sequence[date] = (), keep_null_keys: bool = False) -> None:
         """Add the run dates' rows that the published table lacks.
 
         The staged days go straight into the merge: the table is only read and appended to.
         """
         stage = self.staged(job, late_days)
         if stage is not None:
-            merge(stage, target, job.key, job.sort_key, with_dupes=job.name in DUPLICATE_KEY_JOBS)
+            merge(stage, target, job.key, job.sort_key, job.name in DUPLICATE_KEY_JOBS, keep_null_keys)
 
 
 def row_counts(built: Iterable[tuple[str, DataFrame | None]]) -> DataFrame | None:

@@ -30,6 +30,8 @@ from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice
 ALL_PLATFORMS = ("android", "ios", "web", "lr_apple", "lr_fire", "lr_roku", "lr_xbox", "lr_android")
 SESSION = [RUN_DATE, PLATFORM, "session_id"]
 USER = "_user_id"
+POSITION_TYPE = "bigint"
+POSITION_TEXT = "_position_text"
 
 
 def platform_user(raw: Slice) -> Column:
@@ -43,20 +45,46 @@ def platform_user(raw: Slice) -> Column:
     return F.when(F.col(PLATFORM).isin(*phones), F.col("user_id")).otherwise(uuid)
 
 
+def typed(name: str) -> Column:
+    """A raw column in its one type, so that no comparison depends on which feeds are in the run."""
+    kind = {MOBILE_COLUMN: "boolean", "received_at": "timestamp"}.get(name, "string")
+    return F.col(name).try_cast(kind).alias(name)
+
+
 def session_rows(feed: Feed, raw: Slice, context: Sequence[str], *extra: str | Column) -> DataFrame:
     """Heartbeats of known sessions, cut to the columns the aggregates need."""
     user = platform_user(raw)
     rows = feed.complete(raw).withColumn(USER, user).where(F.col("session_id").isNotNull())
-    return rows.select(*SESSION, "content_id", "anonymous_id", "user_tier", USER, *context, "received_at", *extra)
+    described = ["session_id", "content_id", "anonymous_id", "user_tier", USER, *context, "received_at"]
+    return rows.select(RUN_DATE, PLATFORM, *(typed(name) for name in described), *extra)
+
+
+def has_text_positions(raw: Slice) -> bool:
+    return dict(raw.rows.dtypes).get("position") == "string"
+
+
+def positions(raw: Slice, some_text: bool) -> list[Column]:
+    """The position as a number and, if ``some_text`` feed of the run has text, as text; NULL where the other holds."""
+    text = has_text_positions(raw)
+    number = F.lit(None) if text else F.col("position")
+    columns = [number.try_cast(POSITION_TYPE).alias("position")]
+    if some_text:
+        columns.append((F.col("position") if text else F.lit(None).cast("string")).alias(POSITION_TEXT))
+    return columns
 
 
 def combinations(beats: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per session and combination of ``columns``, with beats counted, timed and placed."""
+    """One row per session and combination of ``columns``, with beats counted, timed and placed.
+
+    Numbers are compared as numbers and text as text, as in a run of one feed alone.
+    """
+    texts = [F.max(POSITION_TEXT).alias(POSITION_TEXT)] if POSITION_TEXT in beats.columns else []
     return beats.groupBy(*SESSION, *columns).agg(
         F.count("*").alias("beats"),
         F.min("received_at").alias("first_beat"),
         F.max("received_at").alias("last_beat"),
         F.max("position").alias("max_position"),
+        *texts,
     )
 
 
@@ -66,6 +94,7 @@ def session_statistics(combined: DataFrame, columns: Sequence[str]) -> DataFrame
     That one is the smallest by ``columns`` in order, NULLs last. Every aggregate combines
     before the shuffle, so a session that holds most of the input is no hot task.
     """
+    texts = [F.max(POSITION_TEXT).alias(POSITION_TEXT)] if POSITION_TEXT in combined.columns else []
     ordered = [part for name in columns for part in (F.col(name).isNull().alias(f"{name}_missing"), F.col(name))]
     totals = combined.groupBy(*SESSION).agg(
         F.sum("beats").alias("beats"),
@@ -73,7 +102,11 @@ def session_statistics(combined: DataFrame, columns: Sequence[str]) -> DataFrame
         F.max("last_beat").alias("end_timestamp"),
         F.max("max_position").alias("max_position"),
         F.min(F.struct(*ordered)).alias("kept"),
+        *texts,
     )
+    if texts:
+        number = F.col(POSITION_TEXT).try_cast("double").try_cast(POSITION_TYPE)
+        totals = totals.withColumn("max_position", F.greatest("max_position", number)).drop(POSITION_TEXT)
     return totals.select("*", *(F.col("kept")[name].alias(name) for name in columns)).drop("kept")
 
 
@@ -100,8 +133,10 @@ class SessionJob:
 
     def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
         described = ["content_id", "anonymous_id", USER, "user_tier", *self.context]
+        found = read(self.feed)
+        some_text = any(has_text_positions(raw) for raw in found)
         beats = union_present(
-            session_rows(self.feed, raw, self.context, "position") for raw in read(self.feed)
+            session_rows(self.feed, raw, self.context, *positions(raw, some_text)) for raw in found
         )
         if beats is None:
             return None

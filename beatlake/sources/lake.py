@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -125,6 +126,16 @@ class EventLake:
             slices.append(Slice(self._tagged(rows, platform), (platform,)))
         return slices
 
+    def _scan_merged(self, segment_type: str, platform: str, days: list[date]) -> list[Slice]:
+        """One scan, or one per schema where a column's type differs between days."""
+        try:
+            merged = self.scan(segment_type, platform, days)
+        except (PySparkException, Py4JJavaError) as error:  # the footer job's failure comes unconverted
+            if "CANNOT_MERGE_SCHEMAS" not in str(error):
+                raise
+            return self.scan_by_schema(segment_type, platform, days)
+        return [merged] if merged else []
+
     def slices(self, feed, days: list[date]) -> list[Slice]:
         """The raw rows of a feed on the days, missing platforms left out."""
         found: list[Slice] = []
@@ -133,8 +144,7 @@ class EventLake:
             if feed.needs_column_presence:
                 found += self.scan_by_schema(segment_type, platform, days)
             else:
-                merged = self.scan(segment_type, platform, days)
-                found += [merged] if merged else []
+                found += self._scan_merged(segment_type, platform, days)
         return found
 
 

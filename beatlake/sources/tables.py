@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +50,15 @@ def written_rows(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def _missing(rows: DataFrame, there: DataFrame) -> DataFrame:
+    """Rows that no row of ``there`` equals in all of its columns, NULLs alike."""
+    return rows.join(there, [rows[name].eqNullSafe(there[name]) for name in there.columns], "left_anti")
+
+
 def write_run_days(rows: DataFrame, path: str, incoming: str, days: Sequence[date], keys: Sequence[str]) -> list[date]:
-    """Replace the run's own days; add rows of other days to theirs, unless their keys are there.
+    """Replace the run's own days; add rows of other days to theirs, unless they are there already.
+
+    A row is there if its day has its keys on its platform. One without a key is there if all its columns are.
 
     The rows are written once to ``incoming`` and both steps read them back from there, so the
     job itself is computed once. Returns the other days that got rows; only the few names of
@@ -64,10 +73,12 @@ def write_run_days(rows: DataFrame, path: str, incoming: str, days: Sequence[dat
     late = arrived.where(~own)
     labels = [row.label for row in late.select(day_label().alias("label")).distinct().collect()]
     if labels:
-        there = written_rows(spark, path, schema).where(day_label().isin(labels)).select(*keys, *DAY_COLUMNS)
-        same = [late[name].eqNullSafe(there[name]) for name in DAY_COLUMNS]
-        same += [late[name] == there[name] for name in keys]
-        _write(_by_day(late.join(there, same, "left_anti")), path, "append")
+        there = written_rows(spark, path, schema).where(day_label().isin(labels))
+        keyed = reduce(and_, (F.col(name).isNotNull() for name in keys))
+        on = [*DAY_COLUMNS, *(name for name in schema.names if name == "platform" or name in keys)]
+        new = _missing(late.where(keyed), there.where(keyed).select(*on))
+        new = new.unionByName(_missing(late.where(~keyed), there.where(~keyed)))
+        _write(_by_day(new), path, "append")
     return sorted(date.fromisoformat(label) for label in labels if "null" not in label)
 
 

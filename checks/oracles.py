@@ -226,31 +226,41 @@ def session_user(context: str, source: str) -> str:
  CASE WHEN pf IN ('ios', 'android') THEN user_id ELSE user_uuid END AS uid, user_tier, {context} FROM {source} h)"""
 
 
-def statistics(source: str) -> str:
+def statistics(source: str, place: str = 'max("position")') -> str:
     return f"""(SELECT pf, session_id, count(*) AS beats, min(received_at) AS start_timestamp,
- max(received_at) AS end_timestamp, max("position") AS max_position FROM {source} h GROUP BY pf, session_id)"""
+ max(received_at) AS end_timestamp, {place} AS max_position FROM {source} h GROUP BY pf, session_id)"""
 
 
-def survivors(context: list[str], source: str) -> str:
+def survivors(context: list[str], source: str, place: str = 'max("position")') -> str:
     kept = first_rows(
         session_user(", ".join(context), source),
         ["pf", "session_id"],
         ["content_id", "anonymous_id", "uid", "user_tier", *context],
     )
     return f"""(SELECT k.*, beats, start_timestamp, end_timestamp, max_position FROM ({kept}) k
- JOIN {statistics(source)} s ON k.pf = s.pf AND k.session_id = s.session_id)"""
+ JOIN {statistics(source, place)} s ON k.pf = s.pf AND k.session_id = s.session_id)"""
 
 
-def sessions(context: list[str], context_output: str) -> str:
+def sessions(context: list[str], context_output: str, source: str | None = None, place: str = 'max("position")') -> str:
+    source = source or heartbeats(ALL)
     return f"""SELECT session_id || year(start_timestamp) || strftime(start_timestamp, '%m')
  || strftime(start_timestamp, '%d') AS session_id, user_key, {TIER5} AS user_tier, anonymous_id,
  content_id AS episode_key, beats * 30 AS active_seconds, start_timestamp, end_timestamp,
  CAST(epoch(date_trunc('second', end_timestamp)) - epoch(date_trunc('second', start_timestamp)) AS BIGINT) + 30
  AS duration_seconds, max_position, pf AS platform, {context_output}, {listed(date_parts("start_timestamp"))}
-FROM {survivors(context, heartbeats(ALL))} v LEFT JOIN {users()} u ON v.uid = u.user_id
+FROM {survivors(context, source, place)} v LEFT JOIN {users()} u ON v.uid = u.user_id
 WHERE content_id IS NOT NULL"""
 
 
+def sessions_mixed_types() -> str:
+    """The half of the month is part of the session while it is grouped; web positions compare as text."""
+    halved = f"""(SELECT * REPLACE (session_id || CASE WHEN day(received_at) <= 15 THEN '~1' ELSE '~2' END AS session_id)
+ FROM {heartbeats(ALL)} b)"""
+    place = """CASE WHEN pf = 'web' THEN CAST(max(CAST("position" AS VARCHAR)) AS BIGINT) ELSE max("position") END"""
+    found = sessions(["on_mobile_device"], "on_mobile_device", halved, place)
+    return f"SELECT * REPLACE (regexp_replace(session_id, '~[12]', '') AS session_id) FROM ({found})"
+
+
 def deciles() -> str:
     hb = heartbeats(("web",))
     return f"""WITH hb AS {hb}, joined AS (
@@ -263,11 +273,11 @@ def deciles() -> str:
 SELECT * EXCLUDE (decile), CAST(sum(DISTINCT decile) AS BIGINT) AS decile FROM joined GROUP BY ALL"""
 
 
-def concurrents() -> str:
+def concurrents(dense: bool = True) -> str:
     return f"""SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') || pf AS session_id, bucket AS start_timestamp,
  CAST(n // 2 AS INTEGER) AS "count", pf AS platform, {listed(date_parts("bucket"))}
 FROM (SELECT pf, time_bucket(INTERVAL 1 MINUTE, received_at) AS bucket, count(received_at) AS n
- FROM {heartbeats(SEVEN, dense=True)} h GROUP BY 1, 2)"""
+ FROM {heartbeats(SEVEN, dense=dense)} h GROUP BY 1, 2)"""
 
 
 def visits() -> str:
@@ -380,14 +390,11 @@ def operators() -> dict[str, str]:
             ["event_timestamp", "anonymous_id", "context_page_url", "location", "platform", "on_mobile_device"],
         )
 
+    ungrouped = ("heart_button_clicked", "new_account_created", "video_event")
     counts = {
-        name: all_jobs["vod_sessions_by_context" if name == "sandbox_vod_sessions" else name]
-        for name in (
-            "gate_login_complete", "gate_signup_complete", "gate_signup_event", "content_block_item_clicked",
-            "content_block_link_clicked", "community_login_complete", "community_signup_complete",
-            "community_signup_event", "experiment_viewed", "growthbook_test_hero_event", "sandbox_vod_sessions",
-            "fact_visits", "live_concurrents", "livestream_heartbeat", "subscription", "vod_concurrents", "vod_sessions",
-        )
+        "sandbox_vod_sessions" if name == "vod_sessions_by_context" else name: query
+        for name, query in all_jobs.items()
+        if name not in ungrouped
     }
     return {
         "scan_event_day": f"""SELECT id, received_at, strftime(received_at, '%Y-%m-%d') AS run_date, pf AS platform
@@ -417,6 +424,25 @@ def operators() -> dict[str, str]:
  CASE WHEN pf = 'web' THEN user_tier END AS user_tier, CASE WHEN pf = 'web' THEN user_id END AS user_id)
  FROM {events(THREE)} r)""",
         ),
+        "default_false_flags": mapped(
+            "hero_event",
+            source=f"""(SELECT * REPLACE (CASE WHEN day(received_at) <= 15 THEN FALSE ELSE has_sso END AS has_sso,
+ CASE WHEN day(received_at) <= 15 THEN FALSE ELSE has_video END AS has_video) FROM {WEB_EVENTS} r)""",
+        ),
+        "default_platform": mapped(
+            "hero_impression",
+            source=f"""(SELECT * REPLACE (CASE WHEN day(received_at) <= 15 THEN 'web' ELSE platform END AS platform)
+ FROM {WEB_EVENTS} r)""",
+        ),
+        "sessions_mixed_types": sessions_mixed_types(),
+        "concurrents_backfill": concurrents(dense=False),
+        "scan_type_drift": f"""SELECT id, received_at, strftime(received_at, '%Y-%m-%d') AS run_date,
+ CAST("position" AS VARCHAR) AS "position" FROM {WEB_EVENTS} e""",
+        "merge_bucketed": merged(
+            first_of(two_halves, ["received_at", "user_tier", "label"]),
+            "id",
+            first_of(two_halves, ["received_at", "user_tier", "label"], "day(received_at) <= 15"),
+        ),
         "default_mobile_flag": mapped(
             "signup_button_clicked",
             source=f"""(SELECT * REPLACE (CASE pf WHEN 'ios' THEN TRUE WHEN 'android' THEN on_mobile_device END

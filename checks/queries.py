@@ -14,11 +14,11 @@ from beatlake.functions import rules
 from beatlake.operators.combine import union_present
 from beatlake.operators.dedup import keep_first
 from beatlake.operators.joins import with_user_key
-from beatlake.operators.merge import ParquetTarget, first_per_key, merge
+from beatlake.operators.merge import BucketedTarget, ParquetTarget, first_per_key, merge
 from beatlake.plans.concurrents import bucket_counts
 from beatlake.plans.facts import schema_user
 from beatlake.plans.model import MOBILE_COLUMN, Feed, Job
-from beatlake.plans.registry import JOBS, jobs_named
+from beatlake.plans.registry import GROUPS, JOBS, jobs_named
 from beatlake.plans.runs import Run, row_counts
 from beatlake.plans.sessions import (
     ALL_PLATFORMS,
@@ -87,6 +87,22 @@ def default_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.build(lambda feed: [without(web, "selected_tab"), without(phones, "user_tier", "user_id")])
 
 
+def halves(raw: Slice, *missing: str) -> list[Slice]:
+    """The rows until the 15th without some columns, and the later ones with all."""
+    early = F.dayofmonth("received_at") <= 15
+    return [without(Slice(raw.rows.where(early), raw.platforms), *missing), Slice(raw.rows.where(~early), raw.platforms)]
+
+
+def default_false_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slices = halves(adapters.raw_events(spark, sf_dir, ("web",)), "has_sso", "has_video")
+    return JOBS["hero_event"].build(lambda feed: slices)
+
+
+def default_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slices = halves(adapters.raw_events(spark, sf_dir, ("web",)), "platform")
+    return JOBS["hero_impression"].build(lambda feed: slices)
+
+
 def default_mobile_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = adapters.raw_events(spark, sf_dir, ("web", "android", "ios"))
     slices = [without(on(raw, "web", "ios"), MOBILE_COLUMN), on(raw, "android")]
@@ -264,7 +280,7 @@ def dedup_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapters.raw_events(spark, sf_dir, ("web",)).rows
-    return first_per_key(rows.select("anonymous_id", "original_timestamp", "id"), "anonymous_id", "original_timestamp")
+    return first_per_key(rows.select("anonymous_id", "original_timestamp", "id"), "anonymous_id", "original_timestamp", True)
 
 
 def union_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +291,31 @@ def union_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_present(mixed).withColumnRenamed(PLATFORM, "platform")
 
 
+def by_half(raw: Slice) -> DataFrame:
+    """The raw rows of a month as two input days, its halves."""
+    half = F.when(F.dayofmonth("received_at") <= 15, F.lit("first")).otherwise(F.lit("second"))
+    return raw.rows.withColumn(RUN_DATE, half)
+
+
+def sessions_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of two input days; positions are text on the web and numbers elsewhere."""
+    job = JOBS["vod_sessions"]
+    raw = adapters.raw_heartbeats(spark, sf_dir, job.feed.platforms)
+    raw = Slice(by_half(raw), raw.platforms)
+    web, others = on(raw, "web"), on(raw, *(name for name in raw.platforms if name != "web"))
+    web = Slice(web.rows.withColumn("position", F.col("position").cast("string")), web.platforms)
+    return job.build(lambda feed: [others, web], adapters.users(spark, sf_dir))
+
+
+def concurrents_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two input days at once, the second with every third beat of the first half too, as late ones."""
+    job = JOBS["vod_concurrents"]
+    raw = adapters.raw_heartbeats(spark, sf_dir, job.feed.platforms)
+    late = F.pmod(F.hash("id"), F.lit(3)) == 0
+    rows = by_half(raw).withColumn(RUN_DATE, F.when(late, F.lit("second")).otherwise(F.col(RUN_DATE)))
+    return job.build(lambda feed: [Slice(rows, raw.platforms)])
+
+
 # Lake, tables, merges
 
 
@@ -325,6 +366,21 @@ def scan_by_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completed.groupBy(F.col(PLATFORM).alias("platform"), MOBILE_COLUMN).agg(F.count("*").alias("events"))
 
 
+def scan_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole month of a feed whose position is a number on odd days and text on even ones."""
+    lake, feed = EventLake(spark, scratch(spark)), Feed("video_event", ("web",))
+    raw = adapters.raw_events(spark, sf_dir, feed.platforms).rows
+    raw = raw.select("id", "received_at", "position", *rules.date_parts(F.col("received_at")))
+    even = F.dayofmonth("received_at") % 2 == 0
+    path = lake.feed_root("video_event", "web")
+    write_days(raw.where(even).withColumn("position", F.col("position").cast("string")), path)
+    write_days(raw.where(~even), path)
+    slices = lake.slices(feed, run_dates(WHOLE_MONTH))
+    return union_present(found.rows.select("id", "received_at", RUN_DATE, "position") for found in slices).withColumnRenamed(
+        RUN_DATE, "run_date"
+    )
+
+
 def missing_platform_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = EventLake(spark, lake_of(spark, sf_dir))
     wider = Feed(LAKE_FEED.segment_type, (*LAKE_FEED.platforms, "lr_roku"))
@@ -418,6 +474,16 @@ def merge_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``merge_insert_absent``, into a catalog table bucketed by its key."""
+    target = BucketedTarget(spark, f"checks_merge_{uuid4().hex}", "id", 8)
+    stage = adapters.raw_events(spark, sf_dir, ("web",)).rows.select("id", "received_at", "user_tier", "label")
+    target.append(first_per_key(stage.where(F.dayofmonth("received_at") <= 15), "id", "received_at"))
+    for _ in range(2):
+        merge(stage, target, "id", "received_at")
+    return target.read()
+
+
 def merge_with_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deciles of the month's sessions, merged twice on session and start: rows that share both stay."""
     target = ParquetTarget(spark, f"{scratch(spark)}/target")
@@ -439,11 +505,8 @@ def publish_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
-COUNTED_GROUPS = ("gate_backfill", "onboarding_backfill", "community_backfill", "experiments", "sandbox", "core")
-
-
 def group_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = jobs_named(list(COUNTED_GROUPS))
+    jobs = jobs_named(list(GROUPS))
     return row_counts((job.name, run_job(spark, sf_dir, job.name)) for job in jobs)
 
 
@@ -457,7 +520,8 @@ OPERATORS: dict[str, Query] = {
         user_tier_event, user_tier_session, decile_weight, join_dim_user_left, session_stats_join,
         session_combinations, decile_bitmap, minute_counts, dedup_message_id, dedup_subscription, dedup_earliest,
         union_platforms, scalar_date_parts, scalar_truncate, scalar_casts, ascii_title, merge_insert_absent,
-        merge_with_dupes, publish_event,
+        merge_with_dupes, publish_event, default_false_flags, default_platform, sessions_mixed_types,
+        concurrents_backfill, scan_type_drift, merge_bucketed,
     )
 }
 STATISTICS = {

@@ -5,13 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from beatlake.operators.merge import ParquetTarget
+from beatlake.operators.merge import ParquetTarget, absent
 from beatlake.plans.model import Feed
 from beatlake.plans.registry import GROUPS, JOBS, jobs_named
 from beatlake.plans.runs import Run, row_counts
 from beatlake.sources.dates import run_dates
 from beatlake.sources.lake import PLATFORM, RUN_DATE, EventLake, Slice, load_users
-from beatlake.sources.tables import write_days
+from beatlake.sources.tables import write_days, write_run_days
 from checks import adapters, longform
 from checks.queries import read_adapter, without
 
@@ -317,6 +317,29 @@ def test_late_events_do_not_replace_their_day(lake, spark, tmp_path):
     assert day_table(spark, second, job) == sorted(replaced + later, key=repr)
 
 
+def test_late_rows_without_a_key_are_added_once_and_platforms_told_apart(spark, tmp_path):
+    kind = "id string, platform string, n int, year int, month string, day string"
+    day_1 = spark.createDataFrame([("a", "web", 1, 2024, "01", "01"), (None, "web", 1, 2024, "01", "01")], kind)
+    rows = [("a", "ios", 2), ("a", "web", 3), (None, "web", 1), (None, "web", 2)]
+    late = spark.createDataFrame([(*row, 2024, "01", "01") for row in rows], kind)
+    path, incoming = str(tmp_path / "t"), str(tmp_path / "in")
+    write_run_days(day_1, path, incoming, [DAY_1], ["id"])
+    for _ in range(2):
+        assert write_run_days(late, path, incoming, [DAY_2], ["id"]) == [DAY_1]
+        found = rows_of(spark.read.parquet(path).select("id", "platform", "n"))
+        assert found == [("a", "ios", 2), ("a", "web", 1), (None, "web", 1), (None, "web", 2)]
+
+
+def test_a_small_merge_does_not_shuffle_the_published_table(spark, tmp_path):
+    path = str(tmp_path / "published")
+    spark.range(1000).selectExpr("cast(id AS string) AS id", "id AS n").write.parquet(path)
+    stage = spark.createDataFrame([("5", 1), ("x", 2)], "id string, n long")
+    new = absent(stage, spark.read.parquet(path), ["id"])
+    assert rows_of(new) == [("x", 2)]
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert any("BroadcastHashJoin" in line and "LeftSemi, BuildRight" in line for line in plan.splitlines())
+
+
 def test_late_events_reach_a_day_that_has_no_table_yet(lake, spark, tmp_path):
     job = JOBS["signup_button_clicked"]
     run = Run(spark, lake.root, str(tmp_path / "out"), (DAY_2,))

@@ -115,8 +115,8 @@ def test_merge_without_a_key_adds_again_unless_refused(spark, tmp_path):
     kept = ParquetTarget(spark, str(tmp_path / "kept"))
     refused = ParquetTarget(spark, str(tmp_path / "refused"))
     for _ in range(2):
-        merge(rows, kept, "id", "time")
-        merge(rows, refused, "id", "time", keep_null_keys=False)
+        merge(rows, kept, "id", "time", keep_null_keys=True)
+        merge(rows, refused, "id", "time")
     assert rows_of(kept.read()) == [("a", at(0), "z"), (None, at(0), "y"), (None, at(0), "y")]
     assert rows_of(refused.read()) == [("a", at(0), "z")]
 
