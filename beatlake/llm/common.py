@@ -65,6 +65,21 @@ def removed(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Scratch:
+    """Intermediate tables of one call by name, so that those that nothing reads any more can go before its end."""
+
+    def __init__(self, spark: SparkSession, prefix: str) -> None:
+        self.spark, self.prefix, self.paths = spark, prefix, {}
+
+    def saved(self, frame: DataFrame, name: str) -> DataFrame:
+        self.paths[name] = path = new_path(self.spark, f"{self.prefix}-{name}")
+        return saved(frame, "", path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            removed(self.spark, self.paths.pop(name))
+
+
 def crc_fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import free_name, new_path, removed, saved, unique_ids
+from beatlake.llm.common import Scratch, free_name, saved, unique_ids
 
 LENGTH = 100
 GRAM = 32
@@ -243,45 +243,47 @@ def ordered(documents: DataFrame) -> DataFrame:
 
 def repeated_spans(source: DataFrame, large_bucket: int = LARGE_BUCKET) -> DataFrame:
     """row, begin, stop: spans of ``ordered`` texts covered by strings that also start earlier; they may overlap."""
-    spark = source.sparkSession
-    path = new_path(spark, "substrings-anchors")
-    anchors = saved(
-        source.select("row", "data").mapInArrow(_anchors, "row long, anchor long, context long, place long"), "", path
+    tables = Scratch(source.sparkSession, "substrings")
+    anchors = tables.saved(
+        source.select("row", "data").mapInArrow(_anchors, "row long, anchor long, context long, place long"), "anchors"
     )
-    several = saved(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "substrings-several")
-    hits = saved(anchors.join(several, "anchor"), "substrings-hits")
-    removed(spark, path)
+    several = tables.saved(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "several")
+    hits = tables.saved(anchors.join(several, "anchor"), "hits")
+    tables.drop("anchors", "several")
     here = F.struct("row", "place")
-    classes = saved(
-        hits.groupBy("anchor", "context").agg(F.min(here).alias("first"), F.count("*").alias("n")), "substrings-classes"
-    )
+    classes = tables.saved(hits.groupBy("anchor", "context").agg(F.min(here).alias("first"), F.count("*").alias("n")), "classes")
     copies = hits.join(classes.where("n > 1").select("anchor", "context", "first"), ["anchor", "context"]).where(here != F.col("first"))
     begin = F.expr("place div 65536")
-    spans = copies.select("row", begin.alias("begin"), (begin + F.col("place") % 256 + (LENGTH - 1)).alias("stop"))
-    many = saved(classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "substrings-many")
-    asked = saved(
-        classes.drop("n").join(many, "anchor").select("anchor", "n", "first.row", "first.place"), "substrings-asked"
+    spans = tables.saved(
+        copies.select("row", begin.alias("begin"), (begin + F.col("place") % 256 + (LENGTH - 1)).alias("stop")), "copies"
     )
+    tables.drop("hits")
+    many = tables.saved(classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "many")
+    asked = tables.saved(classes.drop("n").join(many, "anchor").select("anchor", "n", "first.row", "first.place"), "asked")
+    tables.drop("classes", "many")
     by_row = asked.groupBy("row").agg(F.collect_list(F.struct("row", "anchor", "n", "place")).alias("asked"))  # bounded by the text
-    contexts = saved(
+    contexts = tables.saved(
         source.select("row", "data").join(by_row, "row").mapInArrow(_contexts(large_bucket), "a long, b long, row long, place long, data binary"),
-        "substrings-contexts",
+        "contexts",
     )
+    tables.drop("asked")
     compared = (
         contexts.where("b IS NULL").select("a", "row", "place", "data").repartition("a").sortWithinPartitions("a")
         .mapInArrow(_compared, "row long, begin long, stop long")
     )
     windows = contexts.where("b IS NOT NULL").select("a", "b", "row", "place")
-    firsts = saved(
-        windows.groupBy("a", "b").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "substrings-windows"
+    firsts = tables.saved(
+        windows.groupBy("a", "b").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "windows"
     )
     single = windows.join(firsts, ["a", "b"]).where(here != F.col("first"))
-    return saved(
+    found = tables.saved(
         spans.unionByName(compared).unionByName(
             single.select("row", F.col("place").alias("begin"), (F.col("place") + LENGTH).alias("stop"))
         ),
-        "substrings-spans",
+        "spans",
     )
+    tables.drop("copies", "contexts", "windows")
+    return found
 
 
 def merged(spans: list[dict[str, int]] | None) -> list[tuple[int, int]]:
