@@ -14,6 +14,7 @@ and else shuffles both sides, splitting hot hosts.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from html import unescape
@@ -75,8 +76,11 @@ class Page:
         self.nodes: list[tuple[int, str]] = [(-1, "")]
         self.blocks: list[Block] = []
         self._children: dict[tuple[int, str], int] = {}
-        # Open elements: tag, node, dropped, in an article
+        self._depth = [0]  # of every node
+        # Open elements: tag, node, dropped, in an article. All are kept; how many are open of each tag saves searches.
         self._open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        self._count: Counter[str] = Counter()
+        self._drops: Counter[str] = Counter()  # inline elements where dropped text begins
         self._text: list[str] = []
         self._links = self._link_chars = 0
         self._read(html)
@@ -118,46 +122,58 @@ class Page:
         if tag in INLINE:
             if tag in ("br", "wbr"):
                 self._text.append(" " if tag == "br" else "")
-            elif tag not in VOID and len(self._open) < MAX_DEPTH:
+            elif tag not in VOID:
                 self._links += tag == "a"
                 parent = self._open[-1]
                 dropped = parent[2] or bool(attributes) and _dropped(tag, attributes, parent[3])
                 if dropped and not parent[2]:
                     self._flush()
-                self._open.append((tag, parent[1], dropped, parent[3]))
+                    self._drops[tag] += 1
+                self._push(tag, parent[1], dropped, parent[3])
             return
         self._flush()
-        if tag in ENDS_PARAGRAPH and any(x[0] == "p" for x in self._open):
+        if tag in ENDS_PARAGRAPH:
             self._end("p")
         if tag in ENDS_SAME:
             same, stop = ENDS_SAME[tag]
             for x in reversed(self._open):
-                if x[0] in stop:
+                if x[0] in stop or not any(self._count[name] for name in same):
                     break
                 if x[0] in same:
                     self._end(x[0])
-        if tag in VOID or len(self._open) >= MAX_DEPTH:  # deeper elements count as part of the deepest
+        if tag in VOID:
             return
         _, above, dropped, article = self._open[-1]
         key = (above, _label(tag, attributes))
-        node = self._children.get(key)
+        # In the skeleton, though not among the open elements, deeper elements count as part of the deepest.
+        node = self._children.get(key) if self._depth[above] < MAX_DEPTH else above
         if node is None:
             node = self._children[key] = len(self.nodes)
             self.nodes.append(key)
+            self._depth.append(self._depth[above] + 1)
         inside = article or tag in ("article", "main") or "main" in attributes and _attributes(attributes).get("role") == "main"
-        self._open.append((tag, node, dropped or _dropped(tag, attributes, article), inside))
+        self._push(tag, node, dropped or _dropped(tag, attributes, article), inside)
+
+    def _push(self, tag: str, node: int, dropped: bool, article: bool) -> None:
+        self._open.append((tag, node, dropped, article))
+        self._count[tag] += 1
 
     def _end(self, tag: str) -> None:
+        if not self._count[tag]:
+            return
         for at in range(len(self._open) - 1, 0, -1):
             if self._open[at][0] == tag:
                 break
-        else:
-            return
+            if tag in INLINE and self._open[at][0] not in INLINE and not self._drops[tag]:
+                return  # as below
         if tag not in INLINE or self._open[at][2] and not self._open[at - 1][2]:
             self._flush()
         elif any(x[0] not in INLINE for x in self._open[at:]):
             return  # an inline end tag doesn't reach out of a block
         self._links -= sum(x[0] == "a" for x in self._open[at:])
+        for below, x in zip(self._open[at - 1 :], self._open[at:]):
+            self._count[x[0]] -= 1
+            self._drops[x[0]] -= x[0] in INLINE and x[2] and not below[2]
         del self._open[at:]
 
     def skeleton(self) -> str:

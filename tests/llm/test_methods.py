@@ -257,6 +257,15 @@ def test_trees_are_matched_in_order():
     assert html.Page("<div>" * 5000 + "deep").blocks[0][1] == "deep"
 
 
+def test_elements_deeper_than_the_skeleton():
+    blocks = html.Page("<div><article>" + "<div>" * 250 + "body" + "</div>" * 250 + "<p>tail</p></article></div>").blocks
+    assert [(block[1], block[4]) for block in blocks] == [("body", True), ("tail", True)]
+    page = html.Page("<section>" * 300 + "text<nav>menu</nav><script>'x'</script><p>more</p><footer>rights</footer>" + "<b>" * 300 + "<nav>menu</nav>")
+    assert html.main_text(page, page.skeleton(), set()) == "text\nmore"
+    assert max(page._depth) == html.MAX_DEPTH
+    assert len(html.Page("<div><li>x</b></i>" * 20_000 + "</span>" * 20_000).blocks) == 20_000  # in linear time
+
+
 def test_pipeline_equals_its_stages(spark, documents, labels):
     """The kept documents by brute force: rules as learned, one of each group, no repeated strings, no benchmark."""
     docs, after = documents, {}
