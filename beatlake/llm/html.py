@@ -2,9 +2,13 @@
 
 A page's elements are folded into a skeleton: siblings with the same label (tag and first class) are one node.
 The most frequent skeleton of a host is its reference, and every page's skeleton is aligned with it by simple
-tree matching. Blocks of text that stand in the same aligned node on nearly all pages of a host are template;
-what varies there is a slot, whose text is content unless its place says otherwise (menus, adverts, notices,
-forms, comments; lists of links where a page has no article).
+tree matching. Blocks of text that stand in the same aligned node on nearly all pages of a host, and in nearly all
+of several distinct articles, are template; what varies there is a slot, whose text is content unless its place
+says otherwise (menus, adverts, notices, forms, comments; lists of links where a page has no article).
+
+Pages are not evidence by themselves, as copies of one article share its whole body. A page whose own text is
+shorter than what it shares with nearly all others counts as a copy, and all copies of a host are one article.
+The others are told apart by the least hash of their own blocks, so that copies among them mostly count once.
 
 Skeletons and blocks are counted over all pages, partially before each shuffle, so that a host may hold any
 share of them. What a page needs of its host is one row, joined by host: Spark broadcasts it where it is small
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 from beatlake.llm.common import saved
 
 TEMPLATE_SHARE = 0.8
+TEMPLATE_ARTICLES = 5
 LINK_SHARE = 0.5
 MAX_DEPTH = 200
 TOKEN = re.compile(
@@ -297,15 +302,29 @@ def block_names(page: Page, reference: str) -> list[int | None]:
     return [name_of(places[block[0]], block[1]) if places[block[0]] >= 0 else None for block in page.blocks]
 
 
-def main_text(page: Page, reference: str, template: set[int]) -> str:
-    """Blocks of the article, or without one all blocks that aren't mostly links, less what the template has."""
+def placed(page: Page, names: list[int | None]) -> list[tuple[Block, int | None]]:
+    """Blocks with their names where main text may stand: in the article, or without one where not mostly links are."""
     article = any(block[4] and not block[3] for block in page.blocks)
-    names = block_names(page, reference) if template else [None] * len(page.blocks)
-    chosen = [
-        (block, name in template and not block[5])
+    return [
+        (block, name)
         for block, name in zip(page.blocks, names)
         if not block[3] and (block[4] if article else block[2] <= LINK_SHARE * len(block[1]))
     ]
+
+
+def article_of(page: Page, names: list[int | None], common: set[int]) -> int:
+    """The least hash of the page's own blocks, or zero for a copy: a page whose common blocks are longer than its own."""
+    blocks = [(block[1], name in common) for block, name in placed(page, names) if not block[5]]
+    own = [text for text, shared in blocks if not shared]
+    if not own or 2 * sum(map(len, own)) < sum(len(text) for text, _ in blocks):
+        return 0
+    return min(name_of(0, text) for text in own)
+
+
+def main_text(page: Page, reference: str, template: set[int]) -> str:
+    """Blocks of the article, or without one all blocks that aren't mostly links, less what the template has."""
+    names = block_names(page, reference) if template else [None] * len(page.blocks)
+    chosen = [(block, name in template and not block[5]) for block, name in placed(page, names)]
     # Where all of a page is like its siblings, it is a copy, and its text is still its text.
     varying = [block[1] for block, fixed in chosen if not fixed]
     if not any(not fixed and not block[5] for block, fixed in chosen):
@@ -330,6 +349,21 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(names, pa.int64())], names=["host", "name"])
 
 
+def _articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Host, name and article of every common block once a page, and once with name NULL for the page."""
+    for batch in batches:
+        hosts, names, articles = [], [], []
+        for host, html, reference, common in zip(*(batch.column(at).to_pylist() for at in range(4))):
+            page, wanted = Page(html or ""), set(common)
+            found = block_names(page, reference)
+            own = [None, *sorted(wanted.intersection(found))]
+            hosts += [host] * len(own)
+            names += own
+            articles += [article_of(page, found, wanted)] * len(own)
+        columns = [pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(articles, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "name", "article"])
+
+
 def _extractor(schema_names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,7 +381,10 @@ def host_of(url: str = "url") -> Column:
 
 
 def wrappers(pages: DataFrame, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """host, reference, template (names of blocks on at least ``share`` of its pages, and on two); a written table."""
+    """host, reference, template; a written table.
+
+    The template are names of blocks on at least ``share`` of the host's pages, and of its articles, and in several.
+    """
     rows = pages.select(host_of().alias("host"), "html")
     counts = saved(
         rows.mapInArrow(_skeletons, "host string, skeleton string").groupBy("host", "skeleton").agg(F.count("*").alias("n")), "html-skeletons"
@@ -363,16 +400,33 @@ def wrappers(pages: DataFrame, share: float = TEMPLATE_SHARE) -> DataFrame:
         .join(references.select("host", "pages"), "host")
         .where(F.col("n") >= share * F.col("pages"))
         .groupBy("host")
-        .agg(F.collect_list("name").alias("template"))  # 1 / share as many as a page has blocks, on average
+        .agg(F.collect_list("name").alias("common"))  # 1 / share as many as a page has blocks, on average
+    )
+    shared = saved(references.where(F.col("pages") >= TEMPLATE_ARTICLES).join(common, "host").select("host", "reference", "common"), "html-common")
+    seen = saved(
+        rows.join(shared, "host").select("host", "html", "reference", "common")
+        .mapInArrow(_articles, "host string, name long, article long")
+        .distinct()
+        .groupBy("host", "name")
+        .agg(F.count("*").alias("n")),
+        "html-articles",
+    )
+    articles = seen.where(F.col("name").isNull()).select("host", F.col("n").alias("articles"))
+    template = (
+        seen.where(F.col("name").isNotNull() & (F.col("n") >= TEMPLATE_ARTICLES))
+        .join(articles, "host")
+        .where(F.col("n") >= share * F.col("articles"))
+        .groupBy("host")
+        .agg(F.collect_list("name").alias("template"))
     )
-    return saved(references.join(common, "host", "left").select("host", "reference", "template"), "html-wrappers")
+    return saved(references.join(template, "host", "left").select("host", "reference", "template"), "html-wrappers")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """A row a page: page_id, url, text, n_chars.
 
-    NULL and empty html give empty text. Pages without a host in their address share one wrapper; a host's only
-    page has a wrapper without template. Repeated rows and ids are pages of their own, no rows give no rows, and
+    NULL and empty html give empty text. Pages without a host in their address share one wrapper; a host with few
+    articles has a wrapper without template. Repeated rows and ids are pages of their own, no rows give no rows, and
     further columns don't matter.
     """
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of().alias("host"))

@@ -252,6 +252,25 @@ def test_pages_without_an_article(spark):
     assert {row.page_id: row.text for row in found} == {n: f"Story number {n}, with white space <here>" for n in range(6)}
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    def page(host, n, *paragraphs):
+        text = "".join(f"<p>{paragraph}</p>" for paragraph in paragraphs)
+        return n, f"http://{host}.example/{n}", f"<html><body><article><h1>Title</h1>{text}</article></body></html>"
+
+    body = [f"paragraph {n} of the body, which all copies of this article share" for n in range(8)]
+    own = [f"a text of its own number {n}, longer than what stands below it" for n in range(100)]
+    rows = [page("two", n, body[0], own[n]) for n in range(2)]
+    rows += [page("crawled", n, *body, f"edited {n}") for n in range(10, 12)]
+    rows += [page("hot", n, *body[:4], f"edited {n}", *body[4:], "Follow us") for n in range(20, 60)]
+    rows += [page("hot", n, own[n], "Follow us") for n in range(60, 70)]
+    rows += [page("copies", n, *body, f"edited {n}") for n in range(70, 90)]
+    found = {row.page_id: row.text.split("\n")[1:] for row in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[n] == [body[0], own[n]] for n in range(2))
+    assert all(found[n] == [*body, f"edited {n}"] for n in [10, 11, *range(70, 90)])
+    assert all(found[n] == [*body[:4], f"edited {n}", *body[4:]] for n in range(20, 60))
+    assert all(found[n] == [own[n]] for n in range(60, 70))
+
+
 def test_trees_are_matched_in_order():
     assert html.simple_tree_matching("(a(b,c(d)),e)", "(a(c(d),f),e)") == {0: 0, 1: 1, 3: 2, 4: 3, 5: 5}
     assert html.Page("<div>" * 5000 + "deep").blocks[0][1] == "deep"
