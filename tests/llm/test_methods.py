@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from beatlake.llm import html, langid, mixing, quality, rules, simhash, substrings, toxicity, warc
+from beatlake.llm import html, langid, mixing, quality, rules, simhash, similar, substrings, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,6 +96,59 @@ def test_every_near_pair_has_a_chain_and_a_key(value, bits):
     assert any(a == b for start in starts for a, b in zip(keys(value, start), keys(other, start)))
 
 
+def brute_kept(texts):
+    """Least ids of groups connected by a 5-word Jaccard similarity of 0.8 or more, by looking at every pair."""
+    sets, root = {}, {doc: doc for doc in texts}
+    for doc, text in texts.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda match: match[0].lower(), text))
+        sets[doc] = {tuple(words[at : at + 5]) for at in range(max(1, len(words) - 4))} if words else set()
+
+    def find(doc):
+        while root[doc] != doc:
+            doc = root[doc]
+        return doc
+
+    ordered = sorted(texts)
+    for at, one in enumerate(ordered):
+        for other in ordered[at + 1 :]:
+            if 5 * len(sets[one] & sets[other]) >= 4 * len(sets[one] | sets[other]):
+                a, b = sorted((find(one), find(other)))
+                root[b] = a
+    return {doc for doc in texts if find(doc) == doc}
+
+
+def test_near_duplicates_equal_all_pairs(spark, documents, monkeypatch):
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    texts = texts_of(documents)
+    kept = {row.doc_id for row in stage(spark, documents, SF).collect()}
+    assert kept == brute_kept(texts) and not kept & {145, 177}  # copies of 6 and 1, 7 and 11 bits apart
+    random.seed(7)
+    words = [f"w{n}" for n in range(300)]
+    line, texts, passage = random.sample(words, 6), {}, random.sample(words, 40)
+    for n in range(160):
+        own = list(passage) if n % 2 else random.sample(words, random.randint(0, 30))
+        for _ in range(random.randint(0, 3)):
+            if own:
+                own[random.randrange(len(own))] = random.choice(words)
+        texts[n] = " ".join(own + (line if n % 3 else []))
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    wanted = brute_kept(texts)
+    assert {row.doc_id for row in similar.keep_one(frame).collect()} == wanted and 60 < len(wanted) < 150
+    monkeypatch.setattr(similar.roots_of, "__defaults__", (5,))  # large keys in blocks
+    assert {row.doc_id for row in similar.keep_one(frame).collect()} == wanted
+
+
+def test_both_searches_of_a_large_key_meet_all_pairs():
+    names, sizes, places = np.arange(50), np.full(50, 10), np.zeros(50, dtype=int)
+
+    def pairs(roots):
+        return {(a, b) for one, other in similar.pairs_of(names, sizes, places, roots) for a, b in zip(one.tolist(), other.tolist())}
+
+    first, second = pairs(None), pairs(names // 2)
+    assert first == {(a, b) for a in range(similar.PIVOTS) for b in range(a + 1, 50)}
+    assert second == {(a, b) for a in range(50) for b in range(a + 1, 50) if a // 2 != b // 2}
+
+
 def brute_substrings(texts, length=100):
     seen, out = set(), {}
     for doc in sorted(texts):
