@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatlake.llm import decontaminate, html, langid, mixing, quality, rules, simhash, substrings, toxicity, warc
+from beatlake.llm import (
+    conversations,
+    decontaminate,
+    html,
+    langid,
+    lexical,
+    mixing,
+    quality,
+    rules,
+    simhash,
+    substrings,
+    toxicity,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +66,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -65,6 +86,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
@@ -73,4 +96,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_mix_sources": mixing.MIX_SQL,
         "op5_decontaminate": decontaminate.DECONTAMINATE_SQL,
         "op10_warc": warc.WARC_SQL,
+        "op12_lexical_search": lexical.RANKED_SQL,
+        "op13_conversation_repair": conversations.AUDIT_SQL,
     }
