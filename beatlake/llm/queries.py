@@ -18,6 +18,7 @@ from beatlake.llm import (
     simhash,
     substrings,
     toxicity,
+    vectors,
     warc,
 )
 
@@ -66,6 +67,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op11_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
+        "op11_embedding_duplicates": op11_embedding_duplicates,
         "op12_lexical_search": op12_lexical_search,
         "op13_conversation_repair": op13_conversation_repair,
     }
