@@ -30,6 +30,16 @@ def left_join_sharded(left: DataFrame, right: DataFrame, keys: Sequence[str], sp
     return left.join(right, [*keys, _SHARD], "left").drop(_SHARD)
 
 
+def inner_join_sharded(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` that are never NULL, with ``right`` unique or small per key.
+
+    As in ``left_join_sharded`` both sides are shuffled for this join, so that a hot key's tasks can be split. Both
+    get the same filters, so that sides made from one frame keep what they share up to its last shuffle.
+    """
+    shard = F.pmod(F.xxhash64(*keys), F.lit(SHARDS))
+    return left.withColumn(_SHARD, shard).join(right.withColumn(_SHARD, shard), [*keys, _SHARD]).drop(_SHARD)
+
+
 def one_key_per_user(users: DataFrame) -> DataFrame:
     """The dimension with one row per user id: the smallest key where an id repeats."""
     return users.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.min("user_key").alias("user_key"))

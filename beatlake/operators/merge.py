@@ -23,16 +23,17 @@ def first_per_key(stage: DataFrame, key: str, sort_key: str, keep_null_keys: boo
     return keep_first(stage, [key], [sort_key])
 
 
-def absent(stage: DataFrame, published: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+def absent(stage: DataFrame, published: DataFrame | None, keys: Sequence[str], wider: DataFrame | None = None) -> DataFrame:
     """Staged rows whose keys are not published. A NULL in a key never matches, so such rows stay.
 
     An anti join could only broadcast its right side, all that was ever published. The published keys are
     cut to the staged ones first: there the staged side is the right one, and while it is small Spark
-    broadcasts it and shuffles no history. What is left is no larger than the stage.
+    broadcasts it and shuffles no history. What is left is no larger than the stage. ``wider`` are rows with at
+    least the stage's keys that are cheaper to read, such as those that the stage was deduplicated from.
     """
     if published is None:
         return stage
-    staged = stage.select(*keys).distinct()
+    staged = (stage if wider is None else wider).select(*keys).distinct()
     there = published.select(*keys).join(staged, list(keys), "left_semi").distinct()
     return stage.join(there, list(keys), "left_anti")
 
@@ -59,13 +60,15 @@ class BucketedTarget:
     """A published catalog table bucketed by its key.
 
     The merge reads only the key column of the whole history and, because that is already
-    hashed by key, shuffles just the staged rows.
+    hashed by key, shuffles just the staged rows. ``folder`` is where a new table's files go, by default the
+    catalog's warehouse.
     """
 
     spark: SparkSession
     table: str
     key: str
     buckets: int
+    folder: str | None = None
 
     def read(self) -> DataFrame | None:
         return self.spark.table(self.table) if self.spark.catalog.tableExists(self.table) else None
@@ -75,6 +78,7 @@ class BucketedTarget:
 
     def append(self, rows: DataFrame) -> None:
         writer = rows.write.mode("append").format("parquet").bucketBy(self.buckets, self.key)
+        writer = writer.option("path", self.folder) if self.folder else writer
         writer.saveAsTable(self.table)
 
 
@@ -89,4 +93,4 @@ def merge(stage: DataFrame, target, key: str, sort_key: str, with_dupes: bool =
         rows = stage if keep_null_keys else stage.na.drop(subset=keys)
     else:
         rows, keys = first_per_key(stage, key, sort_key, keep_null_keys), [key]
-    target.append(absent(target.aligned(rows), target.read(), keys))
+    target.append(absent(target.aligned(rows), target.read(), keys, stage))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beatlake.functions import rules
 from beatlake.plans.events import EventJob, Part
-from beatlake.plans.model import Feed, Source
+from beatlake.plans.model import Feed, Rule, Source
 from beatlake.sources.lake import PLATFORM
 
 WEB = ("web",)
@@ -28,16 +28,16 @@ def proper_platform() -> Column:
     return rules.renamed(F.col(PLATFORM), {proper: (plain,) for plain, proper in PROPER_NAMES.items()})
 
 
-def tier(column: str = "user_tier") -> Callable[[], Column]:
-    return lambda: rules.event_tier(F.col(column), F.col("user_id"))
+def tier(column: str = "user_tier") -> Rule:
+    return Rule((column, "user_id"), lambda: rules.event_tier(F.col(column), F.col("user_id")))
 
 
-def cut(column: str, length: int) -> Callable[[], Column]:
-    return lambda: rules.truncated(column, length)
+def cut(column: str, length: int) -> Rule:
+    return Rule((column,), lambda: rules.truncated(column, length))
 
 
-def constant(text: str | None) -> Callable[[], Column]:
-    return lambda: F.lit(text).cast("string")
+def constant(text: str | None) -> Rule:
+    return Rule((), lambda: F.lit(text).cast("string"))
 
 
 def false() -> Column:
@@ -72,7 +72,7 @@ def event(
 
 
 AT = ("event_timestamp", "received_at")
-HERE = ("platform", loaded_from)
+HERE = ("platform", Rule((), loaded_from))
 USER_TIER = ("user_tier", tier())
 EVENT_ID = ("event_id", "id")
 MESSAGE_ID = ("message_id", "id")
@@ -111,20 +111,20 @@ PLAYLIST = EventJob(
 EVENT_JOBS = (
     event(
         "ad_event", "ad_event_id", ("ad_event_id", "id"), "anonymous_id",
-        ("break_type", lambda: rules.renamed(F.col("break_type"), rules.BREAK_TYPES)),
+        ("break_type", Rule(("break_type",), lambda: rules.renamed(F.col("break_type"), rules.BREAK_TYPES))),
         "content_id content_type", ("event_type", "label"), "platform",
-        ("playhead_time", lambda: F.col("playhead_time").try_cast("double")),
+        "playhead_time",
         AT, "on_mobile_device user_id", USER_TIER,
         platforms=WEB_AND_PHONES, nulls="playhead_time break_type user_id user_tier", mobile=True,
         drop_null_last=("content_id",),
     ),
     event(
         "application_opened", "event_id", EVENT_ID, ("app_version", "context_app_version"),
-        ("build", lambda: F.col("build").cast("string")),
+        "build",
         ("device_manufacturer", "context_device_manufacturer"), ("device_model", "context_device_model"),
         ("wifi", "context_network_wifi"), ("cellular", "context_network_cellular"),
         ("os_name", "context_os_name"), ("os_version", "context_os_version"), "from_background", AT,
-        ("platform", proper_platform), "user_id anonymous_id", ("user_tier", "context_traits_member_tier"),
+        ("platform", Rule((), proper_platform)), "user_id anonymous_id", ("user_tier", "context_traits_member_tier"),
         platforms=PHONES, nulls="user_id",
     ),
     event(
@@ -262,7 +262,7 @@ EVENT_JOBS = (
         AT, nulls="user_id",
     ),
     event(
-        "initial_app_launch", "message_id", "anonymous_id", MESSAGE_ID, ("platform", proper_platform), AT,
+        "initial_app_launch", "message_id", "anonymous_id", MESSAGE_ID, ("platform", Rule((), proper_platform)), AT,
         platforms=TVS,
     ),
     event(
@@ -280,7 +280,7 @@ EVENT_JOBS = (
     event(
         "page_event", "page_event_id", ("page_event_id", "id"), "anonymous_id user_id", USER_TIER,
         ("path", cut("path", 500)), ("previous_path", cut("previous_url", 500)),
-        ("title", lambda: F.substring(rules.ascii_text(F.col("title")), 1, 215)), AT, "on_mobile_device",
+        ("title", Rule(("title",), lambda: F.substring(rules.ascii_text(F.col("title")), 1, 215))), AT, "on_mobile_device",
         segment_type="pages", nulls="user_tier user_id context_user_agent", mobile=True, skip_bots=True,
     ),
     PLAYLIST,
@@ -297,7 +297,10 @@ EVENT_JOBS = (
     event(
         "search_event", "message_id", MESSAGE_ID, ("event_type", cut("label", 64)),
         ("search_term", cut("query_used", 256)), ("target_id", "target"),
-        ("target_type", lambda: F.substring(rules.renamed(F.col("target_type"), rules.TARGET_TYPES), 1, 32)),
+        (
+            "target_type",
+            Rule(("target_type",), lambda: F.substring(rules.renamed(F.col("target_type"), rules.TARGET_TYPES), 1, 32)),
+        ),
         "user_id anonymous_id", USER_TIER, HERE, ("timestamp", "received_at"), "selected_tab",
         platforms=WEB_AND_PHONES, nulls="user_tier user_id selected_tab", sort_key="timestamp",
     ),

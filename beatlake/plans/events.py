@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from beatlake.functions.rules import date_parts, is_not_bot
 from beatlake.operators.combine import union_present
 from beatlake.operators.dedup import keep_first
-from beatlake.plans.model import Feed, ReadFeed, Source
-from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice
+from beatlake.plans.model import Feed, ReadFeed, Source, kind_of
+from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice, with_run_date
 
 AGENT_COLUMN = "context_user_agent"
 _PART = "_part"
@@ -24,12 +24,17 @@ class Part:
     feed: Feed
     columns: tuple[tuple[str, Source], ...]
 
+    def reading(self, skip_bots: bool) -> Feed:
+        """The feed with the raw columns that this part reads."""
+        names = [name for _, source in self.columns for name in ([source] if isinstance(source, str) else source.reads)]
+        return replace(self.feed, reads=(*names, *([AGENT_COLUMN] if skip_bots else [])))
+
     def project(self, raw: Slice, skip_bots: bool, number: int) -> DataFrame:
         rows = self.feed.complete(raw)
         if skip_bots:
             rows = rows.where(is_not_bot(F.col(AGENT_COLUMN)))
         return rows.select(
-            *(_expression(source).alias(name) for name, source in self.columns),
+            *(_expression(source).try_cast(kind_of(name)).alias(name) for name, source in self.columns),
             PLATFORM,
             RUN_DATE,
             F.lit(number).alias(_PART),
@@ -63,11 +68,11 @@ class EventJob:
     def column_list(self) -> tuple[str, ...]:
         return tuple(name for name, _ in self.parts[0].columns)
 
-    def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
+    def build(self, read: ReadFeed, users: DataFrame | None = None, tagged: bool = False) -> DataFrame | None:
         rows = union_present(
             part.project(raw, self.skip_bots, number)
             for number, part in enumerate(self.parts)
-            for raw in read(part.feed)
+            for raw in read(part.reading(self.skip_bots))
         )
         if rows is None:
             return None
@@ -77,4 +82,4 @@ class EventJob:
             rows = keep_first(rows, [self.key, PLATFORM, RUN_DATE, _PART], [self.sort_key])
         if self.drop_null_last:
             rows = rows.na.drop(subset=list(self.drop_null_last))
-        return rows.select(*self.column_list, *date_parts(F.col(self.sort_key)))
+        return rows.select(*self.column_list, *date_parts(F.col(self.sort_key)), *with_run_date(tagged))

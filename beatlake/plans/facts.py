@@ -13,9 +13,9 @@ from beatlake.operators.dedup import keep_first
 from beatlake.operators.joins import one_key_per_user, with_user_key
 from beatlake.plans.catalog import AT, HERE, columns
 from beatlake.plans.events import AGENT_COLUMN, EventJob, Part
-from beatlake.plans.model import Feed, ReadFeed
+from beatlake.plans.model import Feed, ReadFeed, declared
 from beatlake.plans.sessions import ALL_PLATFORMS, USER
-from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice
+from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice, with_run_date
 
 # Every heartbeat is kept; the keyed merge removes the repeats.
 LIVESTREAM_HEARTBEAT = EventJob(
@@ -59,13 +59,13 @@ class VisitsJob:
         return rows.select(
             RUN_DATE,
             PLATFORM,
-            F.col("id").alias("message_id"),
-            "anonymous_id",
-            F.col("received_at").alias("timestamp"),
-            user.alias(USER),
+            F.col("id").cast("string").alias("message_id"),
+            F.col("anonymous_id").cast("string").alias("anonymous_id"),
+            F.col("received_at").try_cast("timestamp").alias("timestamp"),
+            user.cast("string").alias(USER),
         )
 
-    def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
+    def build(self, read: ReadFeed, users: DataFrame | None = None, tagged: bool = False) -> DataFrame | None:
         visits = union_present(self._visits(raw) for raw in read(self.feed))
         if visits is None:
             return None
@@ -74,14 +74,8 @@ class VisitsJob:
             visits.where(F.col("message_id").isNotNull()), [RUN_DATE, PLATFORM, "message_id"], ["timestamp"]
         ).where(F.col("anonymous_id").isNotNull())
         matched = with_user_key(kept, USER, one_key_per_user(users), ["message_id"])
-        return matched.select(
-            "message_id",
-            "anonymous_id",
-            "timestamp",
-            F.col(PLATFORM).alias("platform"),
-            "user_key",
-            *date_parts(F.col("timestamp")),
-        )
+        rows = matched.withColumn("platform", F.col(PLATFORM))
+        return rows.select(*declared(self.column_list), *date_parts(F.col("timestamp")), *with_run_date(tagged))
 
 
 @dataclass(frozen=True)
@@ -111,34 +105,34 @@ class SubscriptionJob:
         amount_type = dict(raw.rows.dtypes)["amount_cents"]
         return self.feed.complete(raw).select(
             RUN_DATE,
-            "id",
-            "subscription_id",
-            F.col("_event").alias("subscription_event"),
-            F.col("event_type").alias("subscription_event_type"),
+            typed("id", "string"),
+            typed("subscription_id", "string"),
+            F.col("_event").cast("string").alias("subscription_event"),
+            F.col("event_type").cast("string").alias("subscription_event_type"),
             typed("start_timestamp", "timestamp"),
             typed("end_timestamp", "timestamp"),
             F.coalesce(
                 F.col("original_timestamp").try_cast("timestamp"), F.col("received_at").try_cast("timestamp")
             ).alias("event_timestamp"),
             typed("trial", "boolean"),
-            "payment_provider",
-            "membership_plan",
+            typed("payment_provider", "string"),
+            typed("membership_plan", "string"),
             whole_number(F.col("amount_cents"), amount_type).alias("amount_cents"),
-            "coupon_code",
+            typed("coupon_code", "string"),
             typed("stripe_user", "boolean"),
             typed("sent_at", "timestamp"),
-            "user_id",
+            typed("user_id", "string"),
             typed("received_at", "timestamp"),
         )
 
-    def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
+    def build(self, read: ReadFeed, users: DataFrame | None = None, tagged: bool = False) -> DataFrame | None:
         changes = union_present(self._changes(raw) for raw in read(self.feed))
         if changes is None:
             return None
         changes = changes.na.drop(subset=list(self.identity))
         kept = keep_first(changes, [RUN_DATE, *self.identity], ["event_timestamp"])
         matched = with_user_key(kept, "user_id", one_key_per_user(users), ["id"])
-        return matched.select(*self.column_list, *date_parts(F.col("received_at")))
+        return matched.select(*declared(self.column_list), *date_parts(F.col("received_at")), *with_run_date(tagged))
 
 
 FACT_VISITS = VisitsJob(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -14,9 +14,48 @@ from beatlake.sources.lake import PLATFORM, Slice
 
 MOBILE_COLUMN = "on_mobile_device"
 
-# A column is described by a function, as Spark expressions need a running session and
-# descriptions do not. A plain name stands for the raw column of that name.
-Source = str | Callable[[], Column]
+# Types of published columns where they are not text. What a run contains never chooses them: a value that does
+# not fit is NULL.
+KINDS = {
+    **dict.fromkeys(
+        (
+            "event_timestamp", "timestamp", "original_timestamp", "received_at", "sent_at", "start_timestamp",
+            "end_timestamp",
+        ),
+        "timestamp",
+    ),
+    **dict.fromkeys(("on_mobile_device", "has_sso", "has_video", "trial", "stripe_user"), "boolean"),
+    **dict.fromkeys(("position", "max_position", "active_seconds", "duration_seconds", "decile", "user_key"), "bigint"),
+    **dict.fromkeys(("amount_cents", "count"), "int"),
+    "playhead_time": "double",
+}
+
+
+def kind_of(name: str) -> str:
+    return KINDS.get(name, "string")
+
+
+def declared(names: Iterable[str]) -> list[Column]:
+    """Columns in their declared types."""
+    return [F.col(name).try_cast(kind_of(name)).alias(name) for name in names]
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A column made of raw ones: which it reads, and how.
+
+    The expression is made by a function, as Spark expressions need a running session and descriptions do not.
+    """
+
+    reads: tuple[str, ...]
+    make: Callable[[], Column]
+
+    def __call__(self) -> Column:
+        return self.make()
+
+
+# A plain name stands for the raw column of that name.
+Source = str | Rule
 
 
 @dataclass(frozen=True)
@@ -25,7 +64,8 @@ class Feed:
 
     ``nulls`` read as NULL text where missing, ``defaults`` as the given expressions.
     ``mobile`` adds the mobile flag by platform, ``tv_flag`` makes it FALSE for TVs.
-    ``user_by_schema`` marks a feed whose user column is picked by what the files have.
+    ``user_by_schema`` marks a feed whose user column is picked by what the files have. ``reads`` are the raw
+    columns that its job uses, where it declares them.
     """
 
     segment_type: str | Mapping[str, str]
@@ -35,6 +75,7 @@ class Feed:
     mobile: bool = False
     tv_flag: bool = False
     user_by_schema: bool = False
+    reads: tuple[str, ...] = ()
 
     def segment_type_on(self, platform: str) -> str:
         if isinstance(self.segment_type, str):
@@ -63,7 +104,10 @@ ReadFeed = Callable[[Feed], list[Slice]]
 
 
 class Job(Protocol):
-    """A table a run can build: its published columns, key and order, and how to build it."""
+    """A table a run can build: its published columns, key and order, and how to build it.
+
+    Types are those of ``published_schema``. ``tagged`` adds the input day of each row, which a day table needs.
+    """
 
     name: str
     key: str
@@ -73,4 +117,9 @@ class Job(Protocol):
     @property
     def column_list(self) -> tuple[str, ...]: ...
 
-    def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None: ...
+    def build(self, read: ReadFeed, users: DataFrame | None = None, tagged: bool = False) -> DataFrame | None: ...
+
+
+def published_schema(job: Job) -> tuple[tuple[str, str], ...]:
+    """Names and types of a job's published columns."""
+    return tuple((name, kind_of(name)) for name in job.column_list)

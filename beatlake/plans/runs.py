@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +17,17 @@ from beatlake.operators.merge import merge
 from beatlake.plans.model import Job
 from beatlake.plans.registry import DUPLICATE_KEY_JOBS
 from beatlake.sources.lake import EventLake, load_users
-from beatlake.sources.tables import read_days, write_days, write_run_days, write_snapshot
+from beatlake.sources.tables import read_days, write_run_days, write_snapshot
+
+TYPE_MISMATCH = "PARQUET_COLUMN_DATA_TYPE_MISMATCH"
 
 
 @dataclass(frozen=True)
 class Run:
     """A set of run dates over a raw lake and a folder of processed tables.
 
-    ``processed/dim_user`` holds the user dimension, ``processed/<job>`` the day tables and
-    ``processed/_incoming/<job>`` the rows of the job's latest run. Two runs of one job must not
-    overlap; a run that failed half-way is simply run again.
+    ``processed/dim_user`` holds the user dimension and ``processed/<job>`` the day tables. Two runs of one
+    job and input day must not overlap; a run that failed half-way is simply run again.
     """
 
     spark: SparkSession
@@ -38,31 +42,35 @@ class Run:
         """Replace the user dimension the jobs join."""
         write_snapshot(users, self.path("dim_user"))
 
-    def build(self, job: Job) -> DataFrame | None:
+    def build(self, job: Job, tagged: bool = False, drifting: bool = False) -> DataFrame | None:
         """The job's rows for all run dates as one plan; None if no input exists."""
-        lake = EventLake(self.spark, self.lake_root)
+        lake = EventLake(self.spark, self.lake_root, drifting)
         users = load_users(self.spark, self.path("dim_user")) if job.needs_users else None
-        return job.build(lambda feed: lake.slices(feed, list(self.days)), users)
+        return job.build(lambda feed: lake.slices(feed, list(self.days)), users, tagged)
 
-    def process(self, job: Job, replace_late_days: bool = False) -> list[date]:
+    def process(self, job: Job) -> list[date]:
         """Write the job's day table; without input nothing is written.
 
-        A run holds its own days and, through late events, now and then rows of other days. Its
-        own days are replaced. Other days get the rows they lack and are returned, or with
-        ``replace_late_days`` are replaced too, which loses what they held before.
+        A run replaces what its input days wrote before. Through late events that lies now and then in older days,
+        beside what other input days brought; those days are returned. A file that turns out to differ from the
+        declared types makes the run read all footers and start again.
         """
-        rows = self.build(job)
+        rows = self.build(job, tagged=True)
         if rows is None:
             return []
-        if replace_late_days:
-            write_days(rows, self.path(job.name))
-            return []
-        keys = [job.key, job.sort_key] if job.name in DUPLICATE_KEY_JOBS else [job.key]
-        return write_run_days(rows, self.path(job.name), self.path(f"_incoming/{job.name}"), self.days, keys)
+        try:
+            return write_run_days(rows, self.path(job.name), self.days)
+        except (PySparkException, Py4JJavaError) as error:
+            if TYPE_MISMATCH not in str(error):
+                raise
+            return write_run_days(self.build(job, tagged=True, drifting=True), self.path(job.name), self.days)
 
     def staged(self, job: Job, late_days: Sequence[date] = ()) -> DataFrame | None:
-        """The run dates' rows of a day table, cut to its published columns."""
+        """The run dates' rows of a day table as published, whichever input days brought them."""
         days = [*self.days, *late_days]
+        if hasattr(job, "staged"):
+            rows = read_days(self.spark, self.path(job.name), days)
+            return None if rows is None else job.staged(rows)
         return read_days(self.spark, self.path(job.name), days, job.column_list)
 
     def publish(self, job: Job, target, late_days: Sequence[date] = (), keep_null_keys: bool = False) -> None:
@@ -75,6 +83,27 @@ class Run:
             merge(stage, target, job.key, job.sort_key, job.name in DUPLICATE_KEY_JOBS, keep_null_keys)
 
 
+def run_jobs(spark: SparkSession, jobs: Iterable[Job], work: Callable[[Job], None], at_once: int = 4) -> None:
+    """``work`` for every job, a few at a time, each in a scheduler pool of its own.
+
+    A job that fails leaves the others to finish; the failures are raised together at the end, named by job.
+    """
+
+    def one(job: Job) -> Exception | None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", job.name)
+        try:
+            work(job)
+        except Exception as error:
+            error.add_note(f"job {job.name}")
+            return error
+        return None
+
+    with ThreadPoolExecutor(at_once) as pool:
+        failures = [error for error in pool.map(one, jobs) if error]
+    if failures:
+        raise ExceptionGroup("jobs failed", failures)
+
+
 def row_counts(built: Iterable[tuple[str, DataFrame | None]]) -> DataFrame | None:
     """Rows of each built job, in one plan; jobs without input have none."""
     return union_present(

@@ -23,10 +23,13 @@ from beatlake.functions.rules import (
     session_tier,
 )
 from beatlake.operators.combine import union_present
-from beatlake.operators.joins import left_join_sharded, one_key_per_user, with_user_key
-from beatlake.plans.model import MOBILE_COLUMN, Feed, ReadFeed, Source
-from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice
+from beatlake.operators.joins import inner_join_sharded, one_key_per_user, with_user_key
+from beatlake.plans.model import MOBILE_COLUMN, Feed, ReadFeed, Rule, Source, declared, kind_of
+from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice, with_run_date
 
+BEAT_COLUMNS = (
+    "session_id", "content_id", "anonymous_id", "user_tier", "user_id", "user_uuid", "received_at", "position",
+)
 ALL_PLATFORMS = ("android", "ios", "web", "lr_apple", "lr_fire", "lr_roku", "lr_xbox", "lr_android")
 SESSION = [RUN_DATE, PLATFORM, "session_id"]
 USER = "_user_id"
@@ -47,8 +50,7 @@ def platform_user(raw: Slice) -> Column:
 
 def typed(name: str) -> Column:
     """A raw column in its one type, so that no comparison depends on which feeds are in the run."""
-    kind = {MOBILE_COLUMN: "boolean", "received_at": "timestamp"}.get(name, "string")
-    return F.col(name).try_cast(kind).alias(name)
+    return F.col(name).try_cast(kind_of(name)).alias(name)
 
 
 def session_rows(feed: Feed, raw: Slice, context: Sequence[str], *extra: str | Column) -> DataFrame:
@@ -131,7 +133,7 @@ class SessionJob:
     def column_list(self) -> tuple[str, ...]:
         return self.published
 
-    def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
+    def build(self, read: ReadFeed, users: DataFrame | None = None, tagged: bool = False) -> DataFrame | None:
         described = ["content_id", "anonymous_id", USER, "user_tier", *self.context]
         found = read(self.feed)
         some_text = any(has_text_positions(raw) for raw in found)
@@ -148,7 +150,7 @@ class SessionJob:
         year, month, day = date_parts(F.col("start_timestamp"))
         return matched.select(
             F.concat(F.col("session_id"), year.cast("string"), month, day).alias("session_id"),
-            "user_key",
+            *declared(["user_key"]),
             session_tier(F.col("user_tier"), F.col("user_key")).alias("user_tier"),
             "anonymous_id",
             F.col("content_id").alias("episode_key"),
@@ -162,6 +164,7 @@ class SessionJob:
             year,
             month,
             day,
+            *with_run_date(tagged),
         )
 
 
@@ -186,23 +189,30 @@ class DecileJob:
             "platform", MOBILE_COLUMN, "decile",
         )
 
-    def build(self, read: ReadFeed, users: DataFrame | None = None) -> DataFrame | None:
+    def build(self, read: ReadFeed, users: DataFrame | None = None, tagged: bool = False) -> DataFrame | None:
         described = ["content_id", "anonymous_id", USER, "user_tier", MOBILE_COLUMN]
         seen = decile_bit(decile(F.col("percentage_watched"))).alias("bit")
         beats = union_present(session_rows(self.feed, raw, [MOBILE_COLUMN], seen) for raw in read(self.feed))
         if beats is None:
             return None
-        shown = beats.where(F.col("content_id").isNotNull())
-        combined = shown.groupBy(*SESSION, *described).agg(F.bit_or("bit").alias("bits"))
-        # The start is the whole session's, rows without content included. It comes from a second
-        # scan of only the session and the time: a window over a session's combinations would
-        # put all of a hot session into one task.
-        starts = beats.groupBy(*SESSION).agg(F.min("received_at").alias("start_timestamp"))
-        timed = left_join_sharded(combined, starts, SESSION, [F.col("session_id")])
+        combined = beats.groupBy(*SESSION, *described).agg(
+            F.bit_or("bit").alias("bits"),
+            F.min("received_at").alias("first_beat"),
+            F.max(F.col("content_id").isNotNull()).alias("shown"),
+        )
+        # The start is the whole session's, rows without content included. It comes from the same combinations, not
+        # from a window over them, which would put all of a hot session into one task. Both sides of the join use
+        # all three aggregates, so that neither is cut below the shuffle and Spark makes it once for both.
+        starts = combined.groupBy(*SESSION).agg(
+            F.min("first_beat").alias("start_timestamp"), F.bit_or("bits").alias("all_bits"), F.max("shown").alias("any_shown")
+        )
+        timed = inner_join_sharded(combined.where("shown"), starts, SESSION)
+        timed = timed.where("any_shown AND all_bits IS NOT NULL")
+        timed = timed.withColumn("start_timestamp", F.least("start_timestamp", "first_beat"))
         matched = with_user_key(timed, USER, users, [*SESSION, "anonymous_id"])
         resolved = matched.select(
             *SESSION,
-            "user_key",
+            *declared(["user_key"]),
             session_tier(F.col("user_tier"), F.col("user_key")).alias("user_tier"),
             "anonymous_id",
             F.col("content_id").alias("episode_key"),
@@ -225,6 +235,7 @@ class DecileJob:
             MOBILE_COLUMN,
             decile_digits(F.col("bits")).alias("decile"),
             *date_parts(F.col("start_timestamp")),
+            *with_run_date(tagged),
         )
 
 
@@ -248,9 +259,14 @@ SANDBOX_VOD_SESSIONS = SessionJob(
     (
         ("context_ip", "context_ip"),
         ("context_locale", "context_locale"),
-        ("context_page_referrer", lambda: F.substring(F.col("context_page_referrer"), 1, 512)),
+        ("context_page_referrer", Rule(("context_page_referrer",), lambda: F.substring("context_page_referrer", 1, 512))),
+    ),
+    Feed(
+        "video_heartbeat",
+        ALL_PLATFORMS,
+        nulls=("context_ip", "context_locale", "context_page_referrer", "user_id", "user_uuid"),
+        reads=(*BEAT_COLUMNS, "context_ip", "context_locale", "context_page_referrer"),
     ),
-    Feed("video_heartbeat", ALL_PLATFORMS, nulls=("context_ip", "context_locale", "context_page_referrer")),
     CORE_SESSION_COLUMNS,
 )
 

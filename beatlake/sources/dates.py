@@ -32,3 +32,11 @@ def day_folder(day: date) -> str:
 def days_glob(root: str, days: list[date]) -> str:
     """One glob for many days; days without a folder simply do not match."""
     return f"{root}/{{{','.join(sorted({day_folder(day) for day in days}))}}}"
+
+
+def folder_day(folder: str) -> date | None:
+    """The day of a folder as ``day_folder`` names it; None for rows without a time."""
+    try:
+        return date(*(int(part.split("=")[1]) for part in folder.split("/")))
+    except ValueError:
+        return None

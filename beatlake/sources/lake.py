@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,6 +37,37 @@ SCHEMA_READS = 16
 # Internal columns of raw frames: where a row was loaded from, which its own columns need not say.
 PLATFORM = "_platform"
 RUN_DATE = "_run_date"
+# The run date's name in day tables, where it is a partition.
+INPUT_DAY = "input_day"
+
+# Types of raw columns where they are not text. A file may have another one; see ``EventLake.slices``.
+RAW_KINDS = {
+    **dict.fromkeys(("received_at", "timestamp", "sent_at", "original_timestamp"), "timestamp"),
+    **dict.fromkeys(("on_mobile_device", "has_sso", "has_video"), "boolean"),
+    "position": "bigint",
+}
+
+
+def raw_schema(names: Iterable[str]) -> StructType:
+    """The declared schema of raw columns."""
+    schema = StructType()
+    for name in dict.fromkeys(names):
+        schema = schema.add(name, RAW_KINDS.get(name, "string"))
+    return schema
+
+
+def as_declared(found: StructType, declared: StructType, optional: Iterable[str]) -> bool:
+    """Whether files of schema ``found`` can be read as declared and lack no column but optional ones."""
+    kinds = {column.name: column.dataType.simpleString().removesuffix("_ntz") for column in found}
+    lacking = {column.name for column in declared} - kinds.keys()
+    return lacking <= set(optional) and all(
+        kinds.get(column.name, kind) == kind for column in declared for kind in [column.dataType.simpleString()]
+    )
+
+
+def with_run_date(wanted: bool) -> list[Column]:
+    """The input day as an output column, where a day table is to be written."""
+    return [F.col(RUN_DATE).alias(INPUT_DAY)] if wanted else []
 
 
 @dataclass(frozen=True)
@@ -73,10 +105,14 @@ def read_parquet(
 
 @dataclass(frozen=True)
 class EventLake:
-    """Scans of the raw lake, limited to the folders of the run dates."""
+    """Scans of the raw lake, limited to the folders of the run dates.
+
+    ``drifting`` says that a column's type may differ from the declared one on some days.
+    """
 
     spark: SparkSession
     root: str
+    drifting: bool = False
 
     def feed_root(self, segment_type: str, platform: str) -> str:
         source = SOURCE_IDS.get(platform, SOURCE_IDS[FALLBACK_PLATFORM])
@@ -91,14 +127,26 @@ class EventLake:
         )
         return rows.withColumns({PLATFORM: F.lit(platform), RUN_DATE: folder_day}).drop("year", "month", "day")
 
-    def scan(self, segment_type: str, platform: str, days: list[date]) -> Slice | None:
-        """One scan over all the days; a column that some day lacks reads as NULL there."""
+    def scan(self, segment_type: str, platform: str, days: list[date], declared: StructType | None = None) -> Slice | None:
+        """One scan over all the days; a column that some day lacks reads as NULL there.
+
+        With a declared schema no file is opened before the rows are wanted. Without one, the footers of all files are.
+        """
         base = self.feed_root(segment_type, platform)
-        rows = read_parquet(self.spark, days_glob(base, days), base=base, merge_schema=True)
+        if declared is not None:
+            declared = self._with_day(declared)
+        rows = read_parquet(self.spark, days_glob(base, days), declared, base, merge_schema=declared is None)
         return None if rows is None else Slice(self._tagged(rows, platform), (platform,))
 
+    def _with_day(self, schema: StructType) -> StructType:
+        schema = StructType(schema.fields)  # add() changes a schema in place
+        for part in ("year", "month", "day"):
+            schema = schema.add(part, "string")
+        return schema
+
     def _day_schema(self, base: str, day: date) -> StructType | None:
-        rows = read_parquet(self.spark, f"{base}/{day_folder(day)}", merge_schema=True)
+        """The schema of one file of a day: the files of a day are one load's and have the same columns."""
+        rows = read_parquet(self.spark, f"{base}/{day_folder(day)}")
         return None if rows is None else rows.schema
 
     def scan_by_schema(self, segment_type: str, platform: str, days: list[date]) -> list[Slice]:
@@ -109,7 +157,7 @@ class EventLake:
         """
         base = self.feed_root(segment_type, platform)
         wanted = sorted(set(days))
-        # Spark reads the footers of a day in one job; only the resulting schemas come here.
+        # One footer a day; only the schemas come here.
         with ThreadPoolExecutor(SCHEMA_READS) as pool:
             schemas = list(pool.map(lambda day: self._day_schema(base, day), wanted))
         by_schema: dict[tuple, list[date]] = defaultdict(list)
@@ -119,10 +167,7 @@ class EventLake:
         found = dict(zip(wanted, schemas, strict=True))
         slices = []
         for same in by_schema.values():
-            schema = StructType(found[same[0]].fields)
-            for part in ("year", "month", "day"):
-                schema = schema.add(part, "string")
-            rows = read_parquet(self.spark, days_glob(base, same), schema, base)
+            rows = read_parquet(self.spark, days_glob(base, same), self._with_day(found[same[0]]), base)
             slices.append(Slice(self._tagged(rows, platform), (platform,)))
         return slices
 
@@ -136,15 +181,31 @@ class EventLake:
             return self.scan_by_schema(segment_type, platform, days)
         return [merged] if merged else []
 
+    def _scan_declared(self, feed, segment_type: str, platform: str, days: list[date]) -> list[Slice] | None:
+        """One scan by the feed's declared schema; None if the latest day's files are not as declared."""
+        base, declared = self.feed_root(segment_type, platform), raw_schema(feed.reads)
+        latest = next((found for day in sorted(days, reverse=True) if (found := self._day_schema(base, day))), None)
+        if latest is None:
+            return []
+        if not as_declared(latest, declared, feed.nulls):
+            return None
+        return [self.scan(segment_type, platform, days, declared)]
+
     def slices(self, feed, days: list[date]) -> list[Slice]:
-        """The raw rows of a feed on the days, missing platforms left out."""
+        """The raw rows of a feed on the days, missing platforms left out.
+
+        Feeds whose defaults depend on what files have are scanned by schema, from one footer a day. All others are
+        scanned by their declared schema once one file shows that it holds; where it does not, or the lake is
+        ``drifting``, the footers of all files decide.
+        """
         found: list[Slice] = []
         for platform in feed.platforms:
             segment_type = feed.segment_type_on(platform)
             if feed.needs_column_presence:
                 found += self.scan_by_schema(segment_type, platform, days)
-            else:
-                found += self._scan_merged(segment_type, platform, days)
+                continue
+            declared = self._scan_declared(feed, segment_type, platform, days) if feed.reads and not self.drifting else None
+            found += self._scan_merged(segment_type, platform, days) if declared is None else declared
         return found
 
 

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from beatlake.sources.dates import days_glob
-from beatlake.sources.lake import read_parquet
+from beatlake.sources.dates import day_folder, days_glob, folder_day
+from beatlake.sources.lake import INPUT_DAY, read_parquet
 
 DAY_COLUMNS = ("year", "month", "day")
+NOTE = f"folder string, {INPUT_DAY} string"
 
 
 def _by_day(rows: DataFrame) -> DataFrame:
@@ -26,60 +25,61 @@ def _by_day(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *DAY_COLUMNS)
 
 
-def _write(rows: DataFrame, path: str, mode: str, replaced: str = "static") -> None:
-    writer = rows.write.partitionBy(*DAY_COLUMNS).mode(mode)
-    writer.option("partitionOverwriteMode", replaced).parquet(path)
+def _write(rows: DataFrame, path: str, parts: Sequence[str] = DAY_COLUMNS) -> None:
+    """Replaces the partitions that the rows have and no others."""
+    rows.write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_days(rows: DataFrame, path: str) -> None:
     """Replace the day partitions that ``rows`` contains and leave the others alone.
 
-    Days come from the event times, so a late event replaces its whole older day; see
-    ``write_run_days`` for runs that may hold some.
+    Days come from the event times, so a late event replaces its whole older day; see ``write_run_days``.
     """
-    _write(_by_day(rows), path, "overwrite", "dynamic")
+    _write(_by_day(rows), path)
 
 
-def day_label() -> Column:
-    """A row's day as text; without a time it is no day's."""
-    return F.concat_ws("-", F.col("year").cast("string"), "month", "day")
+def _folder(names: Sequence[str]) -> Column:
+    """The folder under a table that a row is written to."""
+    values = (F.coalesce(F.col(name).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")) for name in names)
+    return F.concat_ws("/", *(F.concat(F.lit(f"{name}="), value) for name, value in zip(names, values)))
 
 
-def written_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A table as written, month and day as text whatever partition types the session infers."""
-    return spark.read.schema(schema).parquet(path)
+def _notes(path: str) -> str:
+    """Where a table keeps which folders each input day wrote; hidden from readers of the table."""
+    return f"{path.rstrip('/')}/_written"
 
 
-def _missing(rows: DataFrame, there: DataFrame) -> DataFrame:
-    """Rows that no row of ``there`` equals in all of its columns, NULLs alike."""
-    return rows.join(there, [rows[name].eqNullSafe(there[name]) for name in there.columns], "left_anti")
+def _removed(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def write_run_days(rows: DataFrame, path: str, incoming: str, days: Sequence[date], keys: Sequence[str]) -> list[date]:
-    """Replace the run's own days; add rows of other days to theirs, unless they are there already.
+def write_run_days(rows: DataFrame, path: str, days: Sequence[date]) -> list[date]:
+    """Replace all that the run's input days wrote before, in whatever event days it lies, and nothing else.
 
-    A row is there if its day has its keys on its platform. One without a key is there if all its columns are.
-
-    The rows are written once to ``incoming`` and both steps read them back from there, so the
-    job itself is computed once. Returns the other days that got rows; only the few names of
-    days come to the driver.
+    ``rows`` has its event day in the day columns and the input day it was loaded from in ``INPUT_DAY``. Both are
+    partitions, so runs of different input days never touch the same files: late rows stand beside the rows of
+    their day and survive its reruns. The job is computed and written once. Which folders an input day wrote is
+    noted beside the table, so that a rerun finds those it no longer fills without listing the table. Returns the
+    event days other than the input days that got rows.
     """
-    spark, schema = rows.sparkSession, rows.schema
-    _write(_by_day(rows), incoming, "overwrite")
-    arrived = written_rows(spark, incoming, schema)
-    own = day_label().isin([day.isoformat() for day in days])
-    # The files are gathered by day already, so their rows go from scan to write without a shuffle.
-    _write(arrived.where(own), path, "overwrite", "dynamic")
-    late = arrived.where(~own)
-    labels = [row.label for row in late.select(day_label().alias("label")).distinct().collect()]
-    if labels:
-        there = written_rows(spark, path, schema).where(day_label().isin(labels))
-        keyed = reduce(and_, (F.col(name).isNotNull() for name in keys))
-        on = [*DAY_COLUMNS, *(name for name in schema.names if name == "platform" or name in keys)]
-        new = _missing(late.where(keyed), there.where(keyed).select(*on))
-        new = new.unionByName(_missing(late.where(~keyed), there.where(~keyed)))
-        _write(_by_day(new), path, "append")
-    return sorted(date.fromisoformat(label) for label in labels if "null" not in label)
+    spark = rows.sparkSession
+    names = [*DAY_COLUMNS, INPUT_DAY]
+    labels = sorted({day.isoformat() for day in days})
+    of_days = f"{{{','.join(f'{INPUT_DAY}={label}' for label in labels)}}}"
+    noted = read_parquet(spark, f"{_notes(path)}/{of_days}", StructType.fromDDL(NOTE), _notes(path))
+    # A few folders an input day, there and below: its own event day, and those of its late rows.
+    before = set() if noted is None else {row.folder for row in noted.where("folder IS NOT NULL").collect()}
+    seen = Observation()
+    gathered = rows.hint("rebalance", *names).observe(seen, F.collect_set(_folder(names)).alias("folders"))
+    _write(gathered, path, names)
+    written = set(seen.get.get("folders") or ())
+    for folder in sorted(before - written):
+        _removed(spark, f"{path.rstrip('/')}/{folder}")
+    note = [(None, label) for label in labels] + [(folder, folder.rsplit("=", 1)[1]) for folder in sorted(written)]
+    _write(spark.createDataFrame(note, NOTE).coalesce(1), _notes(path), [INPUT_DAY])
+    touched = {folder.rsplit("/", 1)[0] for folder in written} - {day_folder(day) for day in days}
+    return sorted(found for folder in touched if (found := folder_day(folder)))
 
 
 def write_snapshot(rows: DataFrame, path: str) -> None:
@@ -87,7 +87,7 @@ def write_snapshot(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def read_days(spark: SparkSession, path: str, days: list[date], columns: Sequence[str]) -> DataFrame | None:
-    """The listed columns of the day partitions, without the partition columns; None if no day exists."""
+def read_days(spark: SparkSession, path: str, days: list[date], columns: Sequence[str] = ("*",)) -> DataFrame | None:
+    """The listed columns of the day partitions; None if no day exists."""
     rows = read_parquet(spark, days_glob(path, days), base=path)
     return None if rows is None else rows.select(*columns)

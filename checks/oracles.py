@@ -261,8 +261,8 @@ def sessions_mixed_types() -> str:
     return f"SELECT * REPLACE (regexp_replace(session_id, '~[12]', '') AS session_id) FROM ({found})"
 
 
-def deciles() -> str:
-    hb = heartbeats(("web",))
+def deciles(hb: str | None = None) -> str:
+    hb = hb or heartbeats(("web",))
     return f"""WITH hb AS {hb}, joined AS (
  SELECT hb.session_id, user_key, {TIER5.replace("user_tier", "hb.user_tier")} AS user_tier, anonymous_id,
  content_id AS episode_key, start_timestamp, 'web' AS platform, on_mobile_device, {DECILE} AS decile,
@@ -273,11 +273,11 @@ def deciles() -> str:
 SELECT * EXCLUDE (decile), CAST(sum(DISTINCT decile) AS BIGINT) AS decile FROM joined GROUP BY ALL"""
 
 
-def concurrents(dense: bool = True) -> str:
+def concurrents(dense: bool = True, source: str | None = None) -> str:
     return f"""SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') || pf AS session_id, bucket AS start_timestamp,
  CAST(n // 2 AS INTEGER) AS "count", pf AS platform, {listed(date_parts("bucket"))}
 FROM (SELECT pf, time_bucket(INTERVAL 1 MINUTE, received_at) AS bucket, count(received_at) AS n
- FROM {heartbeats(SEVEN, dense=dense)} h GROUP BY 1, 2)"""
+ FROM {source or heartbeats(SEVEN, dense=dense)} h GROUP BY 1, 2)"""
 
 
 def visits() -> str:
@@ -350,6 +350,51 @@ MATCHED = f"""(SELECT id, received_at, e.user_id, user_tier, user_key FROM {WEB_
  LEFT JOIN {users()} u ON e.user_id = u.user_id)"""
 
 
+def by_input_day(source: str) -> str:
+    """Heartbeats whose sessions are one day's, as the day is part of a session while it is grouped."""
+    return f"(SELECT * REPLACE (session_id || '~' || day(received_at) || '~' AS session_id) FROM {source} b)"
+
+
+def whole_id(query: str) -> str:
+    return f"SELECT * REPLACE (regexp_replace(session_id, '~[0-9]+~', '') AS session_id) FROM ({query})"
+
+
+def lakes() -> dict[str, str]:
+    """Runs over lakes that hold several feeds."""
+    video = f"""(SELECT * FROM {heartbeats(ALL)} v WHERE "position" % 3 <> 0)"""
+    live = f"""(SELECT * FROM {heartbeats(ALL)} v WHERE "position" % 3 = 0 AND pf <> 'lr_android')"""
+    loaded = """CASE WHEN "position" % 7 = 0 THEN least(CAST(received_at AS DATE) + 1, DATE '2024-01-31')
+ ELSE CAST(received_at AS DATE) END"""
+    clicks = output_columns(MAPPED["signup_button_clicked"])
+    rest = [name for name in clicks if name not in ("event_id", "event_timestamp")]
+    clicked = f"""(SELECT {listed(clicks | date_parts("received_at"))}, pf AS _pf, strftime({loaded}, '%Y-%m-%d') AS input_day
+ FROM (SELECT * REPLACE (CASE WHEN "position" % 11 <> 0 THEN id END AS id) FROM {events(THREE)} e) r)"""
+    tier = """CASE WHEN day(received_at) <= 15 THEN CAST("position" % 5 AS VARCHAR) ELSE user_tier END"""
+    beats = f"""(SELECT id AS heartbeat_id, session_id, anonymous_id, user_id, user_uuid, {tier} AS user_tier,
+ received_at AS event_timestamp, pf AS platform FROM {heartbeats(("web", "ios"))} h)"""
+    order = ["event_timestamp", "session_id", "anonymous_id", "user_id", "user_uuid", "user_tier", "platform"]
+    seen = f"""(SELECT id AS message_id, anonymous_id, received_at AS "timestamp", pf AS platform, user_id AS uid,
+ day(received_at) AS d FROM {events(ALL)} r WHERE {NOT_BOT} AND build % 2 = 0)"""
+    kept = first_rows(seen, ["message_id", "platform", "d"], ["timestamp", "anonymous_id", "uid"])
+    early = "(SELECT * FROM {} x WHERE day(event_timestamp) <= 15)"
+    return {
+        "rerun_days": "SELECT * EXCLUDE (_pf) FROM ("
+        + first_rows(clicked, ["event_id", "_pf", "input_day"], ["event_timestamp", *rest, "year", "month", "day"]) + ")",
+        "publish_type_drift": merged(
+            first_rows(beats, ["heartbeat_id"], order), "heartbeat_id",
+            first_rows(early.format(beats), ["heartbeat_id"], order),
+        ),
+        "visits_from_lake": f"""SELECT message_id, anonymous_id, "timestamp", platform, user_key,
+ {listed(date_parts('"timestamp"'))} FROM ({kept}) v LEFT JOIN {users()} u ON v.uid = u.user_id
+WHERE message_id IS NOT NULL AND anonymous_id IS NOT NULL""",
+        "sessions_backfill": whole_id(sessions(["on_mobile_device"], "on_mobile_device", by_input_day(video))),
+        "deciles_backfill": whole_id(deciles(by_input_day(f"(SELECT * FROM {video} w WHERE pf = 'web')"))),
+        "live_concurrents_from_lake": f"SELECT * EXCLUDE (year, month, day) FROM ({concurrents(source=live)})",
+        "vod_concurrents_from_lake": f"""SELECT * EXCLUDE (year, month, day)
+FROM ({concurrents(source=f"(SELECT * FROM {video} v WHERE pf <> 'lr_android')")})""",
+    }
+
+
 def run_date_places(days: str) -> str:
     return f"""SELECT strftime(received_at, '%Y-%m-%d') AS run_date, place, count(*) AS events
 FROM {WEB_EVENTS} e LEFT JOIN (VALUES {days}) d(day, place) ON strftime(received_at, '%Y-%m-%d') = day GROUP BY 1, 2"""
@@ -519,4 +564,4 @@ def operators() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return jobs() | operators()
+    return jobs() | operators() | lakes()

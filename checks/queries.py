@@ -28,11 +28,11 @@ from beatlake.plans.sessions import (
     session_rows,
     session_statistics,
 )
-from beatlake.session import shared_folder
 from beatlake.sources.dates import run_dates
 from beatlake.sources.lake import PLATFORM, RUN_DATE, EventLake, Slice, load_users
 from beatlake.sources.tables import read_days, write_days, write_snapshot
-from checks import adapters
+from checks import adapters, lakes
+from checks.lakes import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,11 +44,6 @@ DENSE_JOBS = ("live_concurrents", "vod_concurrents")
 HEARTBEAT_JOBS = (*DENSE_JOBS, "vod_sessions", "vod_deciles", "sandbox_vod_sessions", "livestream_heartbeat")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder of this run in the cluster's shared folder."""
-    return f"{shared_folder(spark)}/beatlake-checks/{uuid4().hex}"
-
-
 # Jobs over adapters
 
 
@@ -475,13 +470,15 @@ def merge_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``merge_insert_absent``, into a catalog table bucketed by its key."""
-    target = BucketedTarget(spark, f"checks_merge_{uuid4().hex}", "id", 8)
+    """As ``merge_insert_absent``, into a catalog table bucketed by its key, in the shared folder."""
+    folder = scratch(spark)
+    target = BucketedTarget(spark, f"checks_merge_{uuid4().hex}", "id", 8, folder)
     stage = adapters.raw_events(spark, sf_dir, ("web",)).rows.select("id", "received_at", "user_tier", "label")
     target.append(first_per_key(stage.where(F.dayofmonth("received_at") <= 15), "id", "received_at"))
     for _ in range(2):
         merge(stage, target, "id", "received_at")
-    return target.read()
+    spark.sql(f"DROP TABLE {target.table}")  # its files stay, as the table only names their folder
+    return spark.read.parquet(folder)
 
 
 def merge_with_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,4 +534,4 @@ JOB_QUERIES = {name: "vod_sessions_by_context" if name == "sandbox_vod_sessions"
 def queries() -> dict[str, Query]:
     found = {query: partial(run_job, name=name) for name, query in JOB_QUERIES.items()}
     found |= {query: partial(session_statistic, name=name) for query, name in STATISTICS.items()}
-    return found | OPERATORS
+    return found | OPERATORS | lakes.QUERIES

@@ -32,3 +32,18 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    saved = {}
+
+    def change(**settings):
+        for name, value in settings.items():
+            name = name.replace("__", ".")
+            saved[name] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in saved.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from beatlake.operators.merge import ParquetTarget, absent
-from beatlake.plans.model import Feed
+from beatlake.plans.model import Feed, published_schema
 from beatlake.plans.registry import GROUPS, JOBS, jobs_named
-from beatlake.plans.runs import Run, row_counts
+from beatlake.plans.runs import Run, row_counts, run_jobs
 from beatlake.sources.dates import run_dates
-from beatlake.sources.lake import PLATFORM, RUN_DATE, EventLake, Slice, load_users
+from beatlake.sources.lake import PLATFORM, RUN_DATE, EventLake, Slice, load_users, raw_schema
 from beatlake.sources.tables import write_days, write_run_days
 from checks import adapters, longform
 from checks.queries import read_adapter, without
@@ -38,6 +38,8 @@ def test_job_contract(name, spark):
     }
     assert dict(built.dtypes)["year"] == "int"
     assert dict(built.dtypes)["month"] == dict(built.dtypes)["day"] == "string"
+    kinds = dict(built.dtypes)
+    assert all(kinds[name].removesuffix("_ntz") == kind for name, kind in published_schema(job))
 
 
 def test_job_without_input_builds_nothing(spark):
@@ -302,32 +304,114 @@ def day_table(spark, run, job):
     return rows_of(table.select("event_id", "location", "platform", F.col("day").cast("int")))
 
 
-def test_late_events_do_not_replace_their_day(lake, spark, tmp_path):
+def test_late_events_stand_beside_their_day_through_reruns(lake, spark, tmp_path):
     """The second day's run holds an event of the first day, whose id the first run has already."""
     job = JOBS["signup_button_clicked"]
     first, second = (Run(spark, lake.root, str(tmp_path / "out"), (day,)) for day in (DAY_1, DAY_2))
     assert first.process(job) == []
     before = day_table(spark, first, job)
-    for _ in range(2):
-        assert second.process(job) == [DAY_1]
-        later = [("m2", "home", "ios", 2), ("m2", "home", "web", 2)]
-        assert day_table(spark, second, job) == sorted(before + later, key=repr)
-    second.process(job, replace_late_days=True)
-    replaced = [("m1", "late", "ios", 1), ("m1", "late", "web", 1)]
-    assert day_table(spark, second, job) == sorted(replaced + later, key=repr)
-
-
-def test_late_rows_without_a_key_are_added_once_and_platforms_told_apart(spark, tmp_path):
-    kind = "id string, platform string, n int, year int, month string, day string"
-    day_1 = spark.createDataFrame([("a", "web", 1, 2024, "01", "01"), (None, "web", 1, 2024, "01", "01")], kind)
-    rows = [("a", "ios", 2), ("a", "web", 3), (None, "web", 1), (None, "web", 2)]
-    late = spark.createDataFrame([(*row, 2024, "01", "01") for row in rows], kind)
-    path, incoming = str(tmp_path / "t"), str(tmp_path / "in")
-    write_run_days(day_1, path, incoming, [DAY_1], ["id"])
-    for _ in range(2):
-        assert write_run_days(late, path, incoming, [DAY_2], ["id"]) == [DAY_1]
-        found = rows_of(spark.read.parquet(path).select("id", "platform", "n"))
-        assert found == [("a", "ios", 2), ("a", "web", 1), (None, "web", 1), (None, "web", 2)]
+    later = [("m1", "late", name, 1) for name in ("ios", "web")] + [("m2", "home", name, 2) for name in ("ios", "web")]
+    for run in (second, second, first):
+        assert run.process(job) == ([DAY_1] if run is second else [])
+        assert day_table(spark, run, job) == sorted(before + later, key=repr)
+
+
+def test_a_rerun_takes_back_what_it_no_longer_holds(spark, tmp_path):
+    kind = "id string, n int, year int, month string, day string, input_day string"
+    path = str(tmp_path / "t")
+
+    def write(day, *rows):
+        frame = spark.createDataFrame([(*row, day.isoformat()) for row in rows], kind)
+        return write_run_days(frame, path, [day])
+
+    one, other, untimed = (2024, "01", "01"), (2024, "01", "02"), (None, "null", "null")
+    assert write(DAY_1, ("a", 1, *one)) == []
+    assert write(DAY_2, ("a", 2, *one), (None, 2, *one), ("b", 2, *other), ("c", 2, *untimed)) == [DAY_1]
+    assert write(DAY_1, ("a", 3, *one), (None, 3, *one)) == []
+
+    def found():
+        return rows_of(spark.read.parquet(path).select("id", "n"))
+
+    assert found() == [("a", 2), ("a", 3), ("b", 2), ("c", 2), (None, 2), (None, 3)]
+    assert write(DAY_2, ("b", 4, *other)) == []
+    assert found() == [("a", 3), ("b", 4), (None, 3)]
+    assert write(DAY_2) == []
+    assert found() == [("a", 3), (None, 3)]
+
+
+@pytest.mark.parametrize("numbers_first", [True, False])
+def test_types_of_a_day_table_do_not_depend_on_the_run(spark, tmp_path, numbers_first):
+    job, lake = JOBS["livestream_heartbeat"], EventLake(spark, str(tmp_path / "raw"))
+    kind = "id string, session_id string, anonymous_id string, received_at timestamp, year int, month string, day string"
+    rows = spark.createDataFrame([(f"m{day}", "s", "a", at(day, 5), 2024, "01", f"0{day}") for day in (1, 2)], kind)
+    number, text = ("01", "02") if numbers_first else ("02", "01")
+    write_raw(lake, "livestream_heartbeat", "web", rows.where(f"day = '{number}'").withColumn("user_tier", F.lit(7)))
+    write_raw(lake, "livestream_heartbeat", "web", rows.where(f"day = '{text}'").withColumn("user_tier", F.lit("x")))
+    tables = []
+    for name, runs in (("joint", [(DAY_1, DAY_2)]), ("single", [(DAY_1,), (DAY_2,)])):
+        for days in runs:
+            run = Run(spark, lake.root, str(tmp_path / name), days)
+            run.process(job)
+        table = spark.read.parquet(run.path(job.name))
+        assert {(column, dict(table.dtypes)[column]) for column in job.column_list} == set(published_schema(job))
+        tables.append(rows_of(table.select("heartbeat_id", "user_tier", "event_timestamp")))
+    assert tables[0] == tables[1] and sorted(row[1] for row in tables[0]) == ["7", "x"]
+
+
+def jobs_started(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_declared_scans_open_no_files(spark, tmp_path):
+    lake, declared = EventLake(spark, str(tmp_path / "raw")), raw_schema(["id", "received_at", "late_column"])
+    rows = spark.createDataFrame(
+        [(f"m{day}", at(day, 5), 2024, "01", f"0{day}") for day in range(1, 10)],
+        "id string, received_at timestamp, year int, month string, day string",
+    )
+    write_raw(lake, "feed", "web", rows)
+    days = [dt.date(2024, 1, day) for day in range(1, 10)]
+    found = []
+    assert jobs_started(spark, "declared", lambda: found.append(lake.scan("feed", "web", days, declared))) == 0
+    assert rows_of(found[0].rows.select("id", "late_column"))[0] == ("m1", None)
+    feed = Feed("feed", ("web",), ("late_column",), reads=("id", "received_at", "late_column"))
+    assert jobs_started(spark, "one footer", lambda: found.append(lake.slices(feed, days)[0])) <= 1
+    assert rows_of(found[0].rows) == rows_of(found[1].rows)
+    with pytest.raises(Exception, match="late_column"):
+        lake.slices(Feed("feed", ("web",), reads=("id", "late_column")), days)[0].rows.select("late_column")
+
+
+def test_concurrents_add_up_the_input_days_of_a_minute(spark, tmp_path):
+    lake, job = EventLake(spark, str(tmp_path / "raw")), JOBS["live_concurrents"]
+    rows = [(at(1, 10, 0, 1), "01"), (at(1, 10, 0, 31), "02"), (at(1, 10, 0, 32), "02"), (at(2, 9), "02")]
+    frame = spark.createDataFrame([(time, 2024, "01", day) for time, day in rows], "received_at timestamp, year int, month string, day string")
+    write_raw(lake, "livestream_heartbeat", "web", frame)
+    for day in (DAY_1, DAY_2, DAY_1):
+        run = Run(spark, lake.root, str(tmp_path / "out"), (day,))
+        late = run.process(job)
+        assert late == ([DAY_1] if day == DAY_2 else [])
+    assert rows_of(run.staged(job).select("start_timestamp", "count")) == [(at(1, 10), 1)]
+    assert Run(spark, lake.root, str(tmp_path / "out"), (DAY_2,)).staged(job, [DAY_1]).count() == 2
+
+
+def scans_of(frame):
+    """Scans that a frame's final plan runs; what a reused exchange stands for is not run again."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan
+
+
+def test_deciles_scan_their_feed_once(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    beats(spark, "web").write.parquet(str(tmp_path / "beats"))
+    raw = Slice(spark.read.parquet(str(tmp_path / "beats")), ("web",))
+    found = JOBS["vod_deciles"].build(lambda feed: [raw], user_rows(spark))
+    plan = scans_of(found)
+    assert plan.count("FileScan parquet") - plan.count("ReusedExchange") <= 1 and "ReusedExchange" in plan
 
 
 def test_a_small_merge_does_not_shuffle_the_published_table(spark, tmp_path):
@@ -358,6 +442,34 @@ def test_command_line(lake, spark, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "house/signup_button_clicked")).count() == 2
 
 
+def test_command_line_exports_users(spark, tmp_path, monkeypatch):
+    from beatlake.__main__ import main
+
+    given = str(tmp_path / "given")
+    user_rows(spark).write.parquet(given)
+    arguments = ["beatlake", "--users", given, "--lake", str(tmp_path), "--processed", str(tmp_path / "out")]
+    monkeypatch.setattr("sys.argv", arguments)
+    main()
+    assert load_users(spark, str(tmp_path / "out/dim_user")).count() == 3
+
+
+def test_one_failing_job_leaves_the_others_published(lake, spark, tmp_path):
+    run = Run(spark, lake.root, str(tmp_path / "out"), (DAY_1, DAY_2))
+    write_raw(lake, "click_event", "web", spark.createDataFrame([("x", 2024, "01", "01")], "id string, year int, month string, day string"))
+    rows = [(f"b{n}", n, at(1, n), 2024, "01", "01") for n in range(3)]
+    kind = "id string, position int, received_at timestamp, year int, month string, day string"
+    write_raw(lake, "livestream_heartbeat", "web", spark.createDataFrame(rows, kind))
+    names = ["signup_button_clicked", "click_event", "live_concurrents"]
+
+    def work(job):
+        run.publish(job, ParquetTarget(spark, str(tmp_path / f"house/{job.name}")), run.process(job))
+
+    with pytest.raises(ExceptionGroup) as failed:
+        run_jobs(spark, jobs_named(names), work, 2)
+    assert [error.__notes__ for error in failed.value.exceptions] == [["job click_event"]]
+    assert sorted(path.name for path in (tmp_path / "house").iterdir()) == ["live_concurrents", "signup_button_clicked"]
+
+
 def test_writing_days_leaves_other_days_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame(

@@ -2,13 +2,12 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from beatlake.operators.combine import union_present
 from beatlake.operators.dedup import keep_first
 from beatlake.operators.joins import left_join_sharded, one_key_per_user, with_user_key
-from beatlake.operators.merge import BucketedTarget, ParquetTarget, merge
+from beatlake.operators.merge import BucketedTarget, ParquetTarget, absent, first_per_key, merge
 
 
 def rows_of(frame):
@@ -53,21 +52,6 @@ def test_user_join_keeps_everyone(spark):
     assert rows_of(single) == [(1, 10), (2, None), (3, None), (4, 15)]
 
 
-@pytest.fixture
-def conf(spark):
-    saved = {}
-
-    def change(**settings):
-        for name, value in settings.items():
-            name = name.replace("__", ".")
-            saved[name] = spark.conf.get(name, None)
-            spark.conf.set(name, value)
-
-    yield change
-    for name, value in saved.items():
-        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def test_hot_join_keys_are_split_and_missing_ones_spread(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -143,3 +127,15 @@ def test_bucketed_target_is_not_shuffled(spark, conf):
     executed = fresh._jdf.queryExecution().executedPlan().toString()
     assert executed.count("Exchange hashpartitioning") == 1
     spark.sql("DROP TABLE published_rows")
+
+
+def test_a_merge_ranks_its_stage_once(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    stage(spark, ("a", at(1), "x"), ("a", at(2), "y"), ("b", at(1), "z")).write.parquet(path)
+    target = ParquetTarget(spark, str(tmp_path / "t"))
+    rows = spark.read.parquet(path)
+    target.append(rows.where("id = 'b'"))
+    new = absent(first_per_key(rows, "id", "time"), target.read(), ["id"], rows)
+    assert rows_of(new) == [("a", at(1), "x")]
+    optimized = new._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("Window [") == 1
