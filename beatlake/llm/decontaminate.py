@@ -1,11 +1,14 @@
-"""Benchmark decontamination with an Aho-Corasick automaton over normalised benchmark windows.
+"""Benchmark decontamination with an Aho-Corasick automaton over the words of normalised benchmark items.
 
 Texts are normalised byte by byte (ASCII letters lower-cased; everything but ASCII letters, digits and bytes of
-other scripts is a space) to words between single spaces. One automaton holds all windows of the benchmark, so
-that each text is scanned once; matches are mapped to words and from words to offsets of the original text.
-
-The benchmark's windows go to every task. They are counted first: beyond ``BLOCK_BYTES`` the items are dealt
-into blocks of that size, each with its own automaton and scan, and the blocks' hits are united by document.
+other scripts is a space) to words, and words of the benchmark to numbers. A window of 13 words holds one of an item's
+blocks of 7 words that begin at every seventh, wherever it begins. So one automaton over those blocks, with a node a
+word of the benchmark, scans each text once, and each match is drawn out to both sides as far as text and item agree:
+all windows in it occur. Matches are ranges of words, and words are mapped to offsets of the original text.
+
+The benchmark's words go to every Python worker, which builds its automaton once. Beyond ``BLOCK_BYTES`` the items are
+dealt into blocks of that size, one after the other on the driver, each with its own automaton and scan, and the
+blocks' hits are united by document.
 """
 
 from __future__ import annotations
@@ -13,17 +16,19 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from hashlib import sha256
+from uuid import uuid4
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatlake.llm.common import free_name, numbered_rows, saved
 
 WINDOW_WORDS = 13
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 CONTAMINATED_PART = 20
 NORMAL = bytes(
     byte + 32 if 65 <= byte <= 90 else byte if 48 <= byte <= 57 or 97 <= byte <= 122 or byte >= 128 else 32
@@ -32,51 +37,90 @@ NORMAL = bytes(
 Items = list[tuple[str, bytes]]
 
 
-def item_windows(text: bytes, width: int = WINDOW_WORDS) -> list[bytes]:
-    """The windows of an item, each led and ended by a space; an item of fewer words is one window."""
-    words = text.translate(NORMAL).split()
-    if not words:
-        return []
-    return [b" " + b" ".join(words[at : at + width]) + b" " for at in range(max(1, len(words) - width + 1))]
-
-
 class Scanner:
     """The automaton of some items, and what it finds in a text."""
 
     def __init__(self, items: Items, width: int = WINDOW_WORDS) -> None:
-        owners: dict[bytes, set[str]] = defaultdict(set)
+        self.width, self.step = width, (width + 1) // 2
+        self.numbers: dict[bytes, int] = {}
+        # Items of equal words are one; each has the ids of all.
+        ids: dict[bytes, set[str]] = defaultdict(set)
         for item, text in items:
-            for window in item_windows(text, width):
-                owners[window].add(item)
-        self.automaton = ahocorasick.Automaton()
-        for window, ids in owners.items():
-            # The automaton takes text; a byte is a character here, so that offsets are those of bytes.
-            self.automaton.add_word(window.decode("latin-1"), (len(window), window.count(b" ") - 1, tuple(sorted(ids))))
-        self.empty = not owners
-        if owners:
+            codes = [self.numbers.setdefault(word, len(self.numbers) + 1) for word in text.translate(NORMAL).split()]
+            if codes:
+                ids[np.array(codes, dtype=np.int32).tobytes()].add(item)
+        self.words = [np.frombuffer(codes, dtype=np.int32) for codes in ids]
+        self.ids = [tuple(sorted(own)) for own in ids.values()]
+        places: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
+        for item, words in enumerate(self.words):
+            size = self.step if len(words) >= width else len(words)
+            for at in range(0, len(words) - size + 1, size):
+                places[tuple(words[at : at + size].tolist())].append((item, at))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for block, where in places.items():
+            self.automaton.add_word(block, (len(block), where))
+        self.empty = not places
+        if places:
             self.automaton.make_automaton()
 
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Word ranges [first, end) covered by windows, merged and in order, and the items whose windows occur."""
         if self.empty or not words:
             return [], set()
-        normal = (b" " + b" ".join(words) + b" ").decode("latin-1")
-        found = list(self.automaton.iter(normal))
-        if not found:
-            return [], set()
-        starts = np.cumsum([1] + [len(word) + 1 for word in words])
+        get = self.numbers.get
+        codes = [get(word, 0) for word in words]
+        spans: set[tuple[int, int]] = set()
+        found: set[int] = set()
+        done: dict[tuple[int, int], int] = {}  # how far the match of an item at a shift has been drawn out
+        text = None
+        for last, (size, where) in self.automaton.iter(tuple(codes)):
+            begin = last - size + 1
+            for item, at in where:
+                own = self.words[item]
+                if len(own) < self.width:
+                    spans.add((begin, last + 1))
+                    found.add(item)
+                    continue
+                if done.get((item, begin - at), -1) >= last:
+                    continue
+                text = np.array(codes, dtype=np.int32) if text is None else text
+                before = min(begin, at)
+                left = _agreeing(text[begin - before : begin][::-1], own[at - before : at][::-1])
+                after = min(len(text) - last - 1, len(own) - at - size)
+                right = _agreeing(text[last + 1 : last + 1 + after], own[at + size : at + size + after])
+                done[item, begin - at] = last + right
+                if left + size + right >= self.width:
+                    spans.add((begin - left, last + 1 + right))
+                    found.add(item)
         ranges: list[tuple[int, int]] = []
-        items: set[str] = set()
-        spans = sorted({(end - length + 2, count) for end, (length, count, _) in found})
-        for _, (_, _, ids) in found:
-            items.update(ids)
-        for begin, count in spans:
-            first = int(np.searchsorted(starts, begin))
+        for first, end in sorted(spans):
             if ranges and first <= ranges[-1][1]:
-                ranges[-1] = (ranges[-1][0], max(ranges[-1][1], first + count))
+                ranges[-1] = (ranges[-1][0], max(ranges[-1][1], end))
             else:
-                ranges.append((first, first + count))
-        return ranges, items
+                ranges.append((first, end))
+        return ranges, {name for item in found for name in self.ids[item]}
+
+
+def _agreeing(one: np.ndarray, other: np.ndarray) -> int:
+    """How many words two sequences begin with in common, looked at in growing steps."""
+    at, step = 0, 16
+    while at < len(one):
+        unlike = np.flatnonzero(one[at : at + step] != other[at : at + step])
+        if len(unlike):
+            return at + int(unlike[0])
+        at, step = at + step, 2 * step
+    return len(one)
+
+
+_SCANNERS: dict[str, Scanner] = {}
+
+
+def _scanner(token: str, items: Callable[[], Items], width: int) -> Scanner:
+    """The worker's automaton; of another block's it lets go first."""
+    if token not in _SCANNERS:
+        _SCANNERS.clear()
+        _SCANNERS[token] = Scanner(items(), width)
+    return _SCANNERS[token]
 
 
 def original_spans(text: bytes, ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -114,9 +158,11 @@ SPAN = pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))
 RANGE = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
 
-def _scan(items: Items, width: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scan(given: Broadcast, width: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    token = uuid4().hex
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(items, width)
+        scanner = _scanner(token, lambda: given.value, width)
         for batch in batches:
             counts, ranges, found, spans = [], [], [], []
             for value in batch.column(1):
@@ -153,14 +199,16 @@ def find_windows(
     """
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     blocks = block_count(benchmark, block_bytes)
+    context = documents.sparkSession.sparkContext
     if blocks == 1:
-        return source.mapInArrow(_scan(_items(benchmark, 0, 1), width, "doc_id"), SCHEMA)
+        return source.mapInArrow(_scan(context.broadcast(_items(benchmark, 0, 1)), width, "doc_id"), SCHEMA)
     numbered = saved(source.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
     scans = None
     for block in range(blocks):
-        scan = numbered.select("row", "text").mapInArrow(
-            _scan(_items(benchmark, block, blocks), width, "row"), SCHEMA.replace("doc_id", "row")
-        )
+        given = context.broadcast(_items(benchmark, block, blocks))  # at most a block is held by driver and workers
+        found = numbered.select("row", "text").mapInArrow(_scan(given, width, "row"), SCHEMA.replace("doc_id", "row"))
+        scan = saved(found if block == 0 else found.where(F.size("items") > 0), "decontaminate-block")
+        given.destroy()
         scans = scan if scans is None else scans.unionByName(scan)
     united = scans.groupBy("row").agg(
         F.max("n_words").alias("n_words"),
