@@ -1,7 +1,6 @@
 """Timed headline queries; prints one JSON line.
 
 Each query is built and run to completion three times after a warm-up, and the best time counts.
-``long_form`` times the same session results computed the long way, for comparison.
 """
 
 from __future__ import annotations
@@ -10,9 +9,7 @@ import json
 import os
 import time
 
-from beatlake.plans.registry import JOBS
 from beatlake.session import build_session
-from checks import adapters, longform
 from checks.queries import queries
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -51,16 +48,6 @@ def main() -> None:
     registered = queries()
     seconds(lambda: registered["click_event"](spark, SF_DIR))
     times = {name: best(lambda name=name: registered[name](spark, SF_DIR)) for name in HEADLINE}
-
-    def long_sessions():
-        beats = adapters.raw_heartbeats(spark, SF_DIR, JOBS["vod_sessions"].feed.platforms).rows
-        return longform.sessions(beats, adapters.users(spark, SF_DIR)).dropDuplicates(["platform", "session_id"])
-
-    def long_deciles():
-        beats = adapters.raw_heartbeats(spark, SF_DIR, ("web",)).rows
-        return longform.deciles(beats, adapters.users(spark, SF_DIR))
-
-    long_form = {"vod_sessions": best(long_sessions), "vod_deciles": best(long_deciles)}
     print(
         json.dumps(
             {
@@ -70,7 +57,6 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "cpus": int(CPUS),
-                "long_form": long_form,
             }
         )
     )

@@ -1,4 +1,4 @@
-"""Job descriptions, sessions against their long form, and runs over a small lake."""
+"""Job descriptions, sessions and facts on small frames, and runs over a small lake."""
 
 import datetime as dt
 
@@ -12,7 +12,7 @@ from beatlake.plans.runs import Run, row_counts, run_jobs
 from beatlake.sources.dates import run_dates
 from beatlake.sources.lake import PLATFORM, RUN_DATE, EventLake, Slice, load_users, raw_schema
 from beatlake.sources.tables import write_days, write_run_days
-from checks import adapters, longform
+from checks import adapters
 from checks.queries import read_adapter, without
 
 SMALL = "/root/testdata/sf0.001"
@@ -153,25 +153,6 @@ def test_vod_sessions_per_platform_and_day(spark):
     assert rows_of(found.groupBy("platform", "on_mobile_device").count()) == [("ios", True, 3), ("lr_roku", False, 6)]
 
 
-@pytest.mark.parametrize("platforms", [("ios",), ("web", "ios", "lr_roku")])
-def test_vod_sessions_equal_the_long_form(spark, platforms):
-    """Every session of the long form is there, with one of the rows the long form allows."""
-    raw = adapters.raw_heartbeats(spark, SMALL, platforms)
-    users = adapters.users(spark, SMALL)
-    allowed = longform.sessions(raw.rows, users)
-    found = JOBS["vod_sessions"].build(lambda feed: [raw], users).select(*allowed.columns)
-    described = allowed.where("episode_key IS NOT NULL").select("platform", "session_id").distinct()
-    assert found.count() == described.count() > 50
-    assert found.exceptAll(allowed.distinct()).count() == 0
-
-
-def test_vod_deciles_equal_the_long_form(spark):
-    raw = adapters.raw_heartbeats(spark, SMALL, ("web",))
-    users = adapters.users(spark, SMALL)
-    wanted = longform.deciles(raw.rows, users)
-    assert rows_of(JOBS["vod_deciles"].build(lambda feed: [raw], users).select(*wanted.columns)) == rows_of(wanted)
-
-
 def test_vod_deciles(spark):
     found = JOBS["vod_deciles"].build(lambda feed: [Slice(beats(spark, "web"), ("web",))], user_rows(spark))
     columns = ["session_id", "user_key", "user_tier", "episode_key", "start_timestamp", "decile", "year", "month"]
