@@ -11,6 +11,7 @@ meet in one task. Only the table of sources is small by assumption (one row a so
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ GOLDEN = 1327217885  # RING / golden ratio, odd
 SHUFFLE = 1103515245  # odd, so that ids modulo RING are permuted
 CELLS = 4096
 CHUNK_SLOTS = 1 << 16
-CHUNK_DOCS = 20_000
+CHUNK_DOCS = 2_000
 
 
 def sizes(documents: DataFrame) -> DataFrame:
@@ -77,10 +78,11 @@ def _slots_needed(block: int) -> Column:
 
 
 def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """ix, block, whole (how often the mix takes the block), upto (where a last take of it ends, else NULL).
+    """ix, block, whole (how often the mix takes the block), upto (where a last take of it ends, else NULL), slot.
 
     The schedule has as many slots as all targets need. Ranks past a source's target stay empty, and what a
-    source still lacks at the end (its discrepancy, a few slots) follows as its last slots.
+    source still lacks at the end (its discrepancy, a few slots) follows as its last slots. ``slot`` is the number of
+    the first slot that takes the block.
     """
     spark = sources.sparkSession
     needed = saved(
@@ -116,13 +118,14 @@ def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     ranked = (
         drawn.withColumn("place", F.row_number().over(Window.partitionBy("ix", "chunk").orderBy("id")) - 1)
         .join(chunks, ["ix", "chunk"])
-        .select("ix", (F.col("skip") + F.col("place")).alias("rank"))
+        .select("ix", (F.col("skip") + F.col("place")).alias("rank"), F.col("id").alias("slot"))
     )
     lacking = (
         needed.join(by_chunk.groupBy("ix").agg(F.sum("n").alias("drawn")), "ix", "left")
         .withColumn("drawn", F.coalesce("drawn", F.lit(0)))
         .where("drawn < slots")
         .select("ix", F.explode(F.sequence("drawn", F.col("slots") - 1)).alias("rank"))
+        .withColumn("slot", F.col("rank") + total)
     )
     return (
         ranked.unionByName(lacking)
@@ -137,29 +140,36 @@ def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
         .agg(
             F.count(F.when(F.col("left") >= F.col("end"), 1)).alias("whole"),
             F.max(F.when(F.col("left") < F.col("end"), F.col("left"))).alias("upto"),
+            F.min("slot").alias("slot"),
         )
     )
 
 
 def streams(sized: DataFrame, sources: DataFrame) -> DataFrame:
-    """doc_id, size, ix and start: where each document begins in its source's shuffled stream of words."""
+    """doc_id, size, ix and start: where each document begins in its source's shuffled stream of words.
+
+    Rows of equal id and size are laid out as one and told apart afterwards, so that many of them fill no chunk.
+    """
     most = sources.agg(F.coalesce(F.max("rows"), F.lit(0))).first()[0]
-    chunks = max(1, -(-most // CHUNK_DOCS))
+    chunks = max(1, -(-most // max(CHUNK_DOCS, isqrt(most))))  # chunks and rows of one grow alike
     keyed = (
         sized.join(sources.select("ix", F.col("source").alias("name")), F.col("source").eqNullSafe(F.col("name")))
         .withColumn("turn", F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(RING)) * SHUFFLE % RING)
         .withColumn("chunk", F.expr(f"turn * {chunks} div {RING}"))
-        .select("doc_id", "size", "ix", "turn", "chunk")
+        .groupBy("ix", "chunk", "turn", "doc_id", "size")
+        .agg(F.count("*").alias("copies"))
+        .withColumn("words", F.col("size") * F.col("copies"))
     )
     offsets = (
-        keyed.groupBy("ix", "chunk").agg(F.sum("size").alias("n"))
+        keyed.groupBy("ix", "chunk").agg(F.sum("words").alias("n"))
         .select("ix", "chunk", (F.sum("n").over(Window.partitionBy("ix").orderBy("chunk")) - F.col("n")).alias("skip"))
     )
     order = Window.partitionBy("ix", "chunk").orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        keyed.withColumn("upto", F.sum("size").over(order))
+        keyed.withColumn("upto", F.sum("words").over(order))
         .join(offsets, ["ix", "chunk"])
-        .select("doc_id", "size", "ix", (F.col("skip") + F.col("upto") - F.col("size")).alias("start"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        .select("doc_id", "size", "ix", (F.col("skip") + F.col("upto") - F.col("words") + F.col("copy") * F.col("size")).alias("start"))
     )
 
 
@@ -170,10 +180,11 @@ def mix(
     epochs: int = EPOCHS,
     block: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """A row a document: doc_id, source, size, source_size, target, taken.
+    """A row a document: doc_id, source, size, source_size, target, taken, first_slot.
 
     Sources by code point, NULL last, weigh ``weights`` in turn. Each source's taken words add up to its target
-    rounded down. A NULL or empty text has size 0 and takes nothing; a NULL source is a source; repeated rows
+    rounded down. Sorted by ``first_slot``, the slot that first takes words of a document (NULL if none does), any
+    stretch of the mix holds the sources in nearly the wanted shares. A NULL or empty text has size 0 and takes nothing; a NULL source is a source; repeated rows
     and repeated or NULL ids each stand for themselves; no rows give no rows. Other columns don't matter.
     """
     sized = saved(sizes(documents), "mix-sizes")
@@ -190,18 +201,19 @@ def mix(
         pieces.join(schedule(sources, block), ["ix", "block"], "left")
         .withColumn("words", F.coalesce("whole", F.lit(0)) * (F.col("to") - F.col("from")) + F.when(F.col("upto").isNull(), 0).otherwise(once))
         .groupBy("ix", "start", "doc_id", "size")
-        .agg(F.sum("words").alias("taken"))
+        .agg(F.sum("words").alias("taken"), F.min(F.when(F.col("words") > 0, F.col("slot"))).alias("first_slot"))
     )
-    nothing = laid.where("size = 0").select("ix", "start", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
+    none = [F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_slot")]
+    nothing = laid.where("size = 0").select("ix", "start", "doc_id", "size", *none)
     return (
         taken.unionByName(nothing)
         .join(sources, "ix")
-        .select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+        .select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "first_slot")
     )
 
 
-# The targets by levels as above, and what each document gives if every source's stream is read from its
-# front until the target is reached.
+# The targets by levels as above, what each document gives if every source's stream is read from its front until the
+# target is reached, and the slots in the order of their numbers.
 MIX_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD_CLASS}')) AS size FROM documents
@@ -221,16 +233,35 @@ WITH sized AS (
   SELECT *, (words - cap_before) / (weights - weight_before) AS level FROM ordered
 ), opened AS (SELECT min(turn) AS turn FROM levels WHERE level < cap::DOUBLE / weight
 ), target AS (
-  SELECT l.source, l.source_size, CASE WHEN o.turn IS NULL OR l.turn < o.turn THEN l.cap::DOUBLE
+  SELECT l.ix, l.source, l.source_size, CASE WHEN o.turn IS NULL OR l.turn < o.turn THEN l.cap::DOUBLE
     ELSE (SELECT level FROM levels JOIN opened USING (turn)) * l.weight END AS target
   FROM levels l, opened o
 ), laid AS (
   SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY
       ((coalesce(doc_id, -1) % {RING} + {RING}) % {RING}) * {SHUFFLE} % {RING}, doc_id, size
       ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start FROM sized
+), needed AS (
+  SELECT ix, CASE WHEN source_size = 0 THEN 0 ELSE (floor(target)::BIGINT // source_size) * ((source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS})
+    + (floor(target)::BIGINT % source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} END AS slots FROM target
+), parts AS (
+  SELECT ix, slots, coalesce(sum(slots) OVER (ORDER BY ix ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS below,
+    (sum(slots) OVER ())::BIGINT AS total FROM needed
+), points AS (
+  SELECT id, ((id + 1) % {RING}) * {GOLDEN} % {RING} AS point FROM (SELECT unnest(range((SELECT max(total) FROM parts))) AS id)
+), drawn AS (
+  SELECT ix, slots, id AS slot, row_number() OVER (PARTITION BY ix ORDER BY id) - 1 AS rank FROM points JOIN parts
+    ON floor(below::DOUBLE / total * {RING}) <= point AND point < floor((below + slots)::DOUBLE / total * {RING})
+), ranked AS (
+  SELECT ix, rank, slot FROM drawn WHERE rank < slots
+  UNION ALL
+  SELECT ix, rank, total + rank FROM (
+    SELECT ix, total, unnest(range((SELECT count(*) FROM drawn d WHERE d.ix = p.ix), slots::BIGINT)) AS rank FROM parts p)
+), given AS (
+  SELECT doc_id, laid.source, size, source_size, target, ix, start,
+    CASE WHEN source_size = 0 THEN 0 ELSE size * (floor(target)::BIGINT // source_size)
+      + greatest(0, least(size, floor(target)::BIGINT % source_size - start)) END::BIGINT AS taken
+  FROM laid JOIN target ON laid.source IS NOT DISTINCT FROM target.source
 )
-SELECT doc_id, laid.source, size, source_size, target,
-  CASE WHEN source_size = 0 THEN 0 ELSE size * (floor(target)::BIGINT // source_size)
-    + greatest(0, least(size, floor(target)::BIGINT % source_size - start)) END::BIGINT AS taken
-FROM laid JOIN target ON laid.source IS NOT DISTINCT FROM target.source
+SELECT doc_id, source, size, source_size, target, taken, CASE WHEN taken > 0 THEN slot END AS first_slot
+FROM given LEFT JOIN ranked ON ranked.ix = given.ix AND ranked.rank = given.start // {BLOCK_WORDS}
 """
