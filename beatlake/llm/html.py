@@ -36,7 +36,7 @@ LINK_SHARE = 0.5
 MAX_DEPTH = 200
 TOKEN = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|/([a-zA-Z][^\s/>]*)[^>]*>
-    |([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>)""",
+    |([a-zA-Z][^\s/>]*)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>)""",
     re.DOTALL | re.VERBOSE,
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -67,6 +67,12 @@ DROPPED_WORDS = set(
     "subscription share sharing social related recommended comment comments respond disqus login signup toolbar widget "
     "pagination pager banner".split()
 )
+COMMENT_WORDS = set("comment comments respond disqus".split())
+# Words that only say where or how large something is; a name made of these and the words above means the same.
+PLACE_WORDS = set(
+    "area bar block bottom box buttons col column container content global group header inner item items left links list "
+    "main outer page primary right row secondary section side site thread top unit wrap wrapper".split()
+)
 DROPPED_ROLES = set("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 SPACE = re.compile(r"\s+")
 WORDS = re.compile(r"[a-z]+")
@@ -91,8 +97,9 @@ class Page:
         self._read(html)
 
     def _read(self, html: str) -> None:
-        at = 0
-        while found := TOKEN.search(html, at):
+        # Behind the last ">" no tag ends, so that no search runs to the end in vain.
+        at, last = 0, html.rfind(">") + 1
+        while found := TOKEN.search(html, at, last):
             if found.start() > at:
                 self._add(html[at : found.start()])
             at = found.end()
@@ -104,7 +111,10 @@ class Page:
                 if tag in RAW:
                     end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE).search(html, at)
                     at = end.start() if end else len(html)
-        self._add(html[at:])
+            elif found[0].startswith("<!--") and not found[0].endswith("-->"):
+                at = len(html)
+        rest = html[at:]
+        self._add(rest[: rest.find("<!--")] if "<!--" in rest else rest)
         self._flush()
 
     def _add(self, text: str) -> None:
@@ -204,16 +214,25 @@ def _label(tag: str, attributes: str) -> str:
 
 @lru_cache(maxsize=4096)
 def _dropped(tag: str, attributes: str, article: bool) -> bool:
-    """Whether the element's name, class, id or role says that it is not main text."""
+    """Whether the element's name, class, id or role says that it is not main text.
+
+    A class or id says so only as a whole: "top-menu" does, "restaurant-menu" or "related-work" may be anything. An
+    article is one whatever it is called, unless it is a reader's comment.
+    """
     if tag in DROPPED or tag == "header" and not article:
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return False
     told = _attributes(attributes)
     if "hidden" in told or told.get("aria-hidden") == "true" or "display:none" in told.get("style", "").replace(" ", ""):
         return True
-    names = set(WORDS.findall(f"{told.get('class', '')} {told.get('id', '')}".lower()))
-    return bool(names & DROPPED_WORDS) or told.get("role", "").lower() in DROPPED_ROLES
+    if told.get("role", "").lower() in DROPPED_ROLES:
+        return True
+    if article and tag in INLINE:  # a word of a sentence, whatever its class
+        return False
+    names = [set(WORDS.findall(name)) for name in (*told.get("class", "").lower().split(), told.get("id", "").lower())]
+    told_words = set().union(*(words for words in names if words <= DROPPED_WORDS | PLACE_WORDS))
+    return bool(told_words & (COMMENT_WORDS if tag == "article" else DROPPED_WORDS))
 
 
 def tree_of(skeleton: str) -> tuple[list[str], list[list[int]]]:
