@@ -84,6 +84,14 @@ def crc_fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
+def excerpt(text: Column, size: int, slices: int = 16) -> Column:
+    """The bytes of a text, or where there are more than ``size``, evenly spread slices of about that size together."""
+    length = F.octet_length(text)
+    parts = [F.substring(text, F.floor(length * at / slices).cast("int") + 1, F.lit(size // slices - 1)) for at in range(slices)]
+    spaced = [x for part in parts for x in (part, F.lit(b" "))]
+    return F.when(length <= size, text).otherwise(F.concat(*spaced))
+
+
 def lowest(frame: DataFrame, limit: int, *ties: str) -> list[Row]:
     """The ``limit`` rows with the least hash ``turn``, collected.
 
@@ -105,7 +113,8 @@ def labelled_sample(
     """At most ``limit`` labelled texts a class, those whose ids hash lowest; NULL texts are empty.
 
     ``learn`` says which ids may be learned from. Of several labels of one id the smallest counts. The ids
-    are chosen before any text is read, so that the texts are found without a shuffle of the documents.
+    are chosen before any text is read, so that the texts are found without a shuffle of the documents. Of texts
+    longer than ``SAMPLE_BYTES`` an excerpt is learned from, which bounds the sample without losing a class.
     """
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learn)
@@ -122,9 +131,8 @@ def labelled_sample(
         return []
     ids = documents.sparkSession.createDataFrame(kept, "doc_id long, label int")
     rows = (
-        documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+        documents.select("doc_id", excerpt(F.coalesce(F.col("text"), F.lit("")).cast("binary"), SAMPLE_BYTES).alias("text"))
         .join(F.broadcast(ids), "doc_id")  # 2 x limit rows at most
-        .where(F.octet_length("text") <= SAMPLE_BYTES)  # longer texts are not learned from, so the sample is bounded
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.first("label").alias("label"))
         .collect()

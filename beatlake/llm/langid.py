@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import crc_fold, lowest, pieces
+from beatlake.llm.common import crc_fold, excerpt, pieces
 
 HIDDEN = 16
 MAX_BYTES = 24  # longer words are read in parts
@@ -268,25 +268,24 @@ def _fill(reader: Reader, values: list, begin: int, end: int) -> None:
 
 
 def sampled(documents: DataFrame, learn_from: Column, limit: int = SAMPLE_TEXTS) -> list[tuple[bytes, str]]:
-    """Texts and languages of at most ``limit`` documents a language, those whose ids hash lowest."""
+    """Texts and languages of at most ``limit`` ids a language, those that hash lowest; of long texts an excerpt.
+
+    One scan counts the languages, a second one takes the texts: a bound on the hash of an id lets about three times
+    as many of each language through as are wanted.
+    """
     known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn_from)
-    turn = F.xxhash64("doc_id").alias("turn")
-    ids = known.select("doc_id", F.col("lang").cast("string").alias("lang"), turn)
-    kept = []
-    for row in ids.select("lang").distinct().orderBy("lang").collect():
-        kept += [(own.doc_id, own.lang) for own in lowest(ids.where(F.col("lang") == row.lang), limit, "doc_id")]
-    if not kept:
+    text = excerpt(F.col("text").cast("binary"), SAMPLE_BYTES).alias("text")
+    known = known.select("doc_id", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("turn"), text)
+    bounds = [
+        (row.lang, (1 << 63) - 1 if row.n <= 3 * limit else int((3 * limit / row.n - 0.5) * 2**64))
+        for row in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()
+    ]
+    if not bounds:
         return []
-    chosen = F.broadcast(documents.sparkSession.createDataFrame(kept, "doc_id long, lang string").distinct())
-    rows = (
-        known.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text"))
-        .join(chosen, ["doc_id", "lang"])
-        .groupBy("doc_id", "lang")
-        .agg(F.min("text").alias("text"))
-        .where(F.octet_length("text") <= SAMPLE_BYTES)  # longer texts are not learned from, so the sample is bounded
-        .orderBy("doc_id", "lang")
-        .collect()
-    )
+    bound = F.broadcast(documents.sparkSession.createDataFrame(bounds, "lang string, bound long"))  # a row a language
+    drawn = known.join(bound, "lang").where("turn <= bound").groupBy("lang", "turn", "doc_id").agg(F.min("text").alias("text"))
+    turns = Window.partitionBy("lang").orderBy("turn", "doc_id")
+    rows = drawn.withColumn("at", F.row_number().over(turns)).where(F.col("at") <= limit).orderBy("doc_id", "lang").collect()
     return [(bytes(row.text), row.lang) for row in rows]
 
 
