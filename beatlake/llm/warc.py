@@ -2,8 +2,8 @@
 
 An archive begins with a skippable frame that holds the dictionary; each record follows as a frame of its own,
 so that a record can be read alone. The dictionary is built from a bounded sample of the pages and is the same
-in all archives of a run. An archive is a row (name, content): Spark writes rows to any store that it knows,
-and ``export`` makes files of them. Equal payloads are stored once, the others become revisit records.
+in all archives of a run. Tasks write archives as files into a shared folder, through the file systems that pyarrow
+knows, and Spark reads them back as binary files. Equal payloads are stored once, the others become revisit records.
 """
 
 from __future__ import annotations
@@ -13,15 +13,16 @@ import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from pathlib import Path
+from uuid import uuid4
 
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import lowest, saved
+from beatlake.llm.common import lowest, new_path, saved
 
 DICTIONARY_MAGIC = 0x184D2A5D  # a skippable frame's, the one that holds a dictionary
 DICTIONARY_BYTES = 64 << 10
@@ -155,19 +156,29 @@ def read_archive(content: bytes) -> Iterator[Record]:
         at = end
 
 
-def _writer(shared: bytes, archive_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder that all executors share, and the folder's path on it."""
+    return fs.FileSystem.from_uri(folder)
+
+
+def _writer(shared: bytes, archive_bytes: int, folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes a task's archives as files and returns their names, which no other attempt of the task uses."""
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _shared(shared)
         options = {"level": LEVEL, "write_checksum": True, "write_content_size": True}
         packer = zstandard.ZstdCompressor(dict_data=words, **options) if words else zstandard.ZstdCompressor(**options)
-        task, count, size = TaskContext.get().partitionId(), 0, 0
+        task, attempt, count, size = TaskContext.get().partitionId(), uuid4().hex, 0, 0
+        system, path = _opened(folder)
         parts: list[bytes] = []
 
         def full() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f"{task:06d}-{count:06d}.warc.zst"]), pa.array([archive_head(shared) + b"".join(parts)], pa.binary())],
-                names=["name", "content"],
-            )
+            name = f"{task:06d}-{count:06d}-{attempt}.warc.zst"
+            with system.open_output_stream(f"{path}/{name}", compression=None) as out:  # by its name it would be packed again
+                out.write(archive_head(shared))
+                for part in parts:
+                    out.write(part)
+            return pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
 
         for batch in batches:
             for page_id, url, payload, digest, refers, revisit in zip(*(batch.column(at) for at in range(6))):
@@ -185,12 +196,28 @@ def _writer(shared: bytes, archive_bytes: int) -> Callable[[Iterator[pa.RecordBa
     return write
 
 
+def _published(work: str, folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Moves files out of the work folder; one that an attempt before this has moved stays where it is."""
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (system, above), (_, path) = _opened(work), _opened(folder)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                if system.get_file_info(f"{path}/{name}").type == fs.FileType.NotFound:
+                    system.move(f"{above}/{name}", f"{path}/{name}")
+            yield batch
+
+    return move
+
+
 def write_archives(
-    pages: DataFrame, shared: bytes | None = None, min_revisit: int = MIN_REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES
+    pages: DataFrame, shared: bytes | None = None, min_revisit: int = MIN_REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES,
+    folder: str | None = None,
 ) -> DataFrame:
-    """(name, content) of archives that hold a record a page; a written table.
+    """(name, content) of archives that hold a record a page, read from the files written.
 
-    Of pages with equal payloads of ``min_revisit`` bytes or more the one with the least id (NULL last, of equal
+    Tasks write the files into the shared ``folder`` (a new one by default): first under ``_work``, where files of
+    failed attempts stay behind, and those of the attempts that counted are moved out of it. Of pages with equal payloads of ``min_revisit`` bytes or more the one with the least id (NULL last, of equal
     ids the first row) is a response, the others are revisits of it.
     """
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -216,7 +243,14 @@ def write_archives(
     told = numbered.join(again.withColumn("revisit", F.lit(True)), "row", "left").select(
         "page_id", "url", "html", "digest", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit")
     )
-    return saved(told.mapInArrow(_writer(shared, archive_bytes), "name string, content binary"), "warc-archives")
+    spark = pages.sparkSession
+    folder = folder or new_path(spark, "warc-files")
+    work = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_work")
+    work.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(work)
+    names = saved(told.mapInArrow(_writer(shared, archive_bytes, f"{folder}/_work"), "name string"), "warc-names")
+    saved(names.mapInArrow(_published(f"{folder}/_work", folder), "name string"), "warc-published")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
 
 
 READ = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -239,15 +273,6 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
     return archives.select("content").mapInArrow(read, READ)
 
 
-def export(archives: DataFrame, folder: Path) -> list[Path]:
-    """Files of the archives in a local folder, one archive in memory at a time; for tests and small corpora."""
-    paths = []
-    for row in archives.toLocalIterator():
-        paths.append(folder / row.name)
-        paths[-1].write_bytes(row.content)
-    return paths
-
-
 def archived(pages: DataFrame) -> DataFrame:
     """A row a page, read back from its archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
