@@ -97,3 +97,27 @@ def test_stages(tables, spark, tmp_path):
             if not empty and name == "repeated strings":
                 texts = sorted((row.text or "") for row in rows if row.doc_id in (None, 1, 2))
                 assert texts == ["", "", "", GOOD]
+        mixed = corpus_pipeline.STAGES[-1][1](spark, given, str(tmp_path)).collect()
+        assert len(mixed) == (0 if empty else len(DOCUMENTS))
+        assert all((row.first_slot is None) == (row.taken == 0) for row in mixed)
+
+
+def test_pipeline_on_odd_and_no_documents(tables, spark, tmp_path):
+    documents, labels, benchmark, _ = tables
+    for name, rows in (("odd", documents), ("none", documents.limit(0))):
+        for table, frame in (("documents", rows), ("labels", labels), ("benchmark", benchmark)):
+            frame.write.parquet(f"{tmp_path}/{name}/{table}.parquet")
+        found = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        assert found.count() <= rows.count() and "taken" in found.columns
+
+
+def test_many_rows_without_ids_spread_over_chunks(spark, monkeypatch):
+    """Rows of one source that share an id, or have none, don't all stand in one chunk of the stream."""
+    monkeypatch.setattr(mixing, "CHUNK_DOCS", 50)
+    rows = [(None if n % 2 else 7, f"w{n} and more", "a") for n in range(1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = mixing.sizes(frame)
+    laid = mixing.streams(sized, mixing.targets(sized))
+    starts = sorted(row.start for row in laid.collect())
+    assert starts == list(range(0, 3000, 3))
+    assert sum(row.taken for row in mixing.mix(frame).collect()) == int(1.5 * 3000)

@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 import struct
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -138,15 +140,72 @@ def test_near_duplicates_equal_all_pairs(spark, documents, monkeypatch):
     assert {row.doc_id for row in similar.keep_one(frame).collect()} == wanted
 
 
-def test_both_searches_of_a_large_key_meet_all_pairs():
-    names, sizes, places = np.arange(50), np.full(50, 10), np.zeros(50, dtype=int)
+def test_parts_of_a_key_meet_all_open_pairs():
+    sizes, places, roots = np.full(50, 10), np.zeros(50, dtype=int), np.arange(50) // 2
+
+    def pairs(blocks):
+        return {(at, other) for at, found in similar.open_pairs(sizes, places, roots, blocks) for other in found.tolist()}
+
+    wanted = {(a, b) for a in range(50) for b in range(a + 1, 50) if a // 2 != b // 2}
+    assert pairs(np.zeros(50)) == wanted
+    blocks = np.arange(50) % 3
+    assert pairs(blocks) == {(a, b) for a, b in wanted if a % 3 != b % 3}
+
+
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 5)), max_size=40), st.lists(st.integers(1, 7), min_size=1))
+@settings(max_examples=200, deadline=None)
+def test_shared_keys_in_batches_of_any_size(pairs, cuts):
+    rows = sorted(pairs)
+    batches, at = [], 0
+    while at < len(rows):
+        size = cuts[len(batches) % len(cuts)]
+        part = rows[at : at + size]
+        columns = [[key for key, _ in part], [name for _, name in part], [10] * len(part), [0] * len(part)]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        batches.append(pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=["key", "name", "size", "place"]))
+        at += size
+    found = {tuple(row[name] for name in ("key", "name", "pivot", "near")) for batch in similar._shared(iter(batches)) for row in batch.to_pylist()}
+    wanted = set()
+    for key in {key for key, _ in rows}:
+        names = {name for own, name in rows if own == key}
+        if len(names) > 1:
+            wanted |= {(key, name, min(names), name != min(names)) for name in names}
+    assert found == wanted
 
-    def pairs(roots):
-        return {(a, b) for one, other in similar.pairs_of(names, sizes, places, roots) for a, b in zip(one.tolist(), other.tolist())}
 
-    first, second = pairs(None), pairs(names // 2)
-    assert first == {(a, b) for a in range(similar.PIVOTS) for b in range(a + 1, 50)}
-    assert second == {(a, b) for a in range(50) for b in range(a + 1, 50) if a // 2 != b // 2}
+def test_rows_grow_no_faster_than_a_group(spark, monkeypatch):
+    """Texts with some words changed: most pairs are just below the limit, so that no pivot joins them."""
+    monkeypatch.setattr(similar, "MORE_PAIRS", 2)
+    written = similar.Scratch.saved
+
+    def kept_and_rows(n):
+        random.seed(11)
+        base = [f"w{at}" for at in range(400)]
+        texts = {}
+        for doc in range(n):
+            own = list(base)
+            for at in random.sample(range(400), 5):
+                own[at] = f"x{doc}-{at}"
+            texts[doc] = " ".join(own)
+        rows = Counter()
+
+        def counting(self, frame, name):
+            out = written(self, frame, name)
+            rows[name] += out.count()
+            return out
+
+        monkeypatch.setattr(similar.Scratch, "saved", counting)
+        frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        kept = {row.doc_id for row in similar.keep_one(frame).collect()}
+        assert kept == brute_kept(texts)
+        return kept, rows
+
+    (kept, few), (_, many) = kept_and_rows(100), kept_and_rows(200)
+    assert 0 < many["candidates-sketched"] <= similar.MORE_PAIRS * many["crowded"] and many["links-dense"]
+    pairs = [name for name in many if name.startswith(("candidates", "pairs", "links"))]
+    assert all(many[name] <= similar.FEW_PAIRS * many["open"] for name in pairs)
+    more = {name: (few[name], rows) for name, rows in many.items() if name not in pairs and rows > 2.5 * few[name] + 100}
+    assert not more
 
 
 def brute_substrings(texts, length=100):
@@ -229,11 +288,32 @@ def test_mix_reaches_targets_in_any_order(documents):
     again = sorted(map(tuple, mixing.mix(documents.repartition(7).orderBy("n_chars")).collect()))
     assert once == again
     taken = Counter()
-    for _, source, _, _, target, words in once:
+    for _, source, _, _, target, words, _ in once:
         taken[source, target] += words
     assert all(words == int(target) for (_, target), words in taken.items())
 
 
+def test_any_stretch_of_the_mix_has_its_shares(spark):
+    """Slots of a source among the first n differ from its share of n by no more than the golden-ratio points allow."""
+    rows = [(n, "w " * 64, f"s{n % 4}" if n % 5 else "big") for n in range(6000)]
+    sized = mixing.sizes(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    sources = mixing.targets(sized).collect()
+    frame = spark.createDataFrame(sources)
+    blocks = mixing.schedule(frame, block=64).where("slot is not null")
+    total = sum(row.target for row in sources)
+    for row in sources:
+        slots = sorted(x.slot for x in blocks.where(F.col("ix") == row.ix).collect())
+        epochs = row.target / row.source_size
+        for place, slot in enumerate(slots):
+            # Each block is counted by its first slot, so the count is that of the first epoch.
+            assert place + 1 <= (slot + 1) * row.target / total + 4 * np.log(slot + 2) + 1
+        assert len(slots) == min(1, epochs) * row.source_size // 64 or abs(len(slots) - min(1, epochs) * row.source_size / 64) <= 1
+    taken = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=64)
+    first = taken.where("first_slot is not null").orderBy("first_slot").limit(800).groupBy("source").count().collect()
+    wanted = {row.source: row.target / total for row in sources}
+    assert all(abs(row["count"] / 800 - wanted[row.source]) < 0.05 for row in first)
+
+
 def accuracy(rows, truth):
     held = [row for row in rows if row.held_out and row.doc_id in truth]
     return sum(row.predicted == truth[row.doc_id] for row in held) / len(held)
@@ -254,6 +334,26 @@ def test_language_on_held_out_rows(documents):
     assert sum(row.lang_pred == truth[row.doc_id] for row in held) > 0.95 * len(held)
 
 
+def test_a_language_of_long_texts_is_learned(spark):
+    french, german = "le chat est sur la table et il dort ", "der hund liegt unter dem tisch und er bellt "
+    rows = [(n, french * 4000, "fr") for n in range(40)] + [(n, french * 2, "fr") for n in range(40, 44)]
+    rows += [(n, german * 3, "de") for n in range(100, 160)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.sampled(frame, F.lit(True), 4)
+    assert sorted(lang for _, lang in sample) == ["de"] * 4 + ["fr"] * 4
+    assert all(len(text) <= langid.SAMPLE_BYTES for text, _ in sample)
+    found = langid.identify(frame, F.lit(True), 4).collect()
+    assert all(row.lang_pred == ("fr" if row.doc_id < 100 else "de") for row in found)
+
+
+def test_a_class_of_long_texts_is_learned(spark):
+    rows = [(n, ("good plain words " if n % 2 else "bad ugly lines ") * 30_000) for n in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(20)], "doc_id long, quality int")
+    found = quality.judged(frame, labels).collect()
+    assert all(row.predicted == row.doc_id % 2 for row in found)
+
+
 def test_gradients_of_the_recurrent_network():
     model = langid.learn([(b"abc de fgh", "x"), (b"klm no pqr", "y")], steps=0)
     words, truth, weights = [b"abc", b"kl\xc3"], np.array([0, 1]), np.ones(2, dtype=np.float32)
@@ -276,16 +376,17 @@ def test_gradients_of_the_recurrent_network():
 def test_warc_files_round_trip(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     doubled = pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 1_000_000).where("page_id % 3 = 0"))
-    archives = warc.write_archives(doubled, archive_bytes=20_000)
+    warc.write_archives(doubled, archive_bytes=20_000, folder=str(tmp_path))
+    files = sorted(tmp_path.glob("*.warc.zst"))
     wanted = {row.page_id: (row.url, row.html) for row in doubled.collect()}
-    records = [record for path in warc.export(archives, tmp_path) for record in warc.read_archive(path.read_bytes())]
-    assert len(records) == len(wanted) and len(list(tmp_path.iterdir())) > 1
+    records = [record for path in files for record in warc.read_archive(path.read_bytes())]
+    assert len(records) == len(wanted) and len(files) > 1 and not list((tmp_path / "_work").glob("*.zst"))
     by_id = {record.page_id: record for record in records}
     for page, (url, text) in wanted.items():
         record = by_id[page]
         body = record.payload if record.payload is not None else by_id[record.refers_to].payload
         assert (record.url, body) == (url, text.encode()) and record.digest == hashlib.sha256(body).hexdigest()
-    content = next(tmp_path.iterdir()).read_bytes()
+    content = files[0].read_bytes()
     magic, size = struct.unpack_from("<II", content)
     assert magic == warc.DICTIONARY_MAGIC and size > 0
     damaged = bytearray(warc.record_bytes(warc.Record(1, None, b"text", 4, hashlib.sha256(b"text").hexdigest())))
@@ -338,6 +439,29 @@ def test_elements_deeper_than_the_skeleton():
     assert len(html.Page("<div><li>x</b></i>" * 20_000 + "</span>" * 20_000).blocks) == 20_000  # in linear time
 
 
+def test_names_that_say_something_else_and_comments():
+    page = html.Page(
+        "<article><p>Body</p><div class='restaurant-menu'>Soup</div><section class='related-work'>Earlier</section>"
+        "<div class='social-history'>1848</div><div id='comments-on-the-law'>Law</div><p>Please <span class='share'>share</span> it</p>"
+        "<div class='share-buttons'>Tweet</div><div class='top-menu'>Home</div><article class='comment'>Me too</article>"
+        "<section id='comments'>So <b>do</b> I</section><div class='ad'>Buy</div><p>End</p></article><article class='comment'>Reader says</article>"
+    )
+    assert html.main_text(page, page.skeleton(), set()) == "Body\nSoup\nEarlier\n1848\nLaw\nPlease share it\nEnd"
+
+
+@pytest.mark.parametrize("part", ["<a ", '<p class="a" ', "x<y ", '<a ">" ', "<!-- ", "</b ", "<p>a<", "'<i \""])
+def test_unclosed_marks_take_linear_time(part):
+    for end in ("", ">", '">', "-->"):
+        began = time.process_time()
+        html.Page(part * (1_000_000 // len(part)) + end)
+        assert time.process_time() - began < 10
+
+
+def test_unclosed_comments_hide_the_rest():
+    assert [block[1] for block in html.Page("<p>a</p>b <!-- c").blocks] == ["a", "b"]
+    assert [block[1] for block in html.Page("<p>a</p>b <!-- <p>c</p> d").blocks] == ["a", "b"]
+
+
 def test_pipeline_equals_its_stages(spark, documents, labels):
     """The kept documents by brute force: rules as learned, one of each group, no repeated strings, no benchmark."""
     docs, after = documents, {}
@@ -347,8 +471,8 @@ def test_pipeline_equals_its_stages(spark, documents, labels):
     texts = texts_of(documents)
     kept = {row.doc_id for row in rules.rate(documents, labels).where("kept").collect()}
     assert after["quality rules"] == {doc: texts[doc] for doc in kept}
-    component = brute_components({doc: brute_fingerprint(texts[doc]) for doc in kept})
-    assert after["near duplicates"] == {doc: texts[doc] for doc in kept if component[doc] == doc}
+    first = brute_kept({doc: texts[doc] for doc in kept})
+    assert after["near duplicates"] == {doc: texts[doc] for doc in first} and len(first) < len(kept)
     wanted = brute_substrings({doc: text.encode() for doc, text in after["near duplicates"].items()})
     for doc, text in after["repeated strings"].items():
         size, cut, *_ = wanted[doc]
