@@ -487,3 +487,30 @@ def test_pipeline_equals_its_stages(spark, documents, labels):
         assert (doc in after["benchmark passages"]) == (not (hit and 20 * len(hit) >= len(words)))
     mixed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {row.doc_id for row in mixed} == set(after["benchmark passages"])
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """A mark that no text of the starting sample has is learned, and rows set aside beyond the sample calibrate."""
+    plain, common, rare = "calm plain words here ", "awful nasty words here ", "vile rotten words here "
+    ids = spark.createDataFrame([(n,) for n in range(0, 600, 3)], "doc_id long").withColumn("turn", F.xxhash64("doc_id"))
+    first = {row.doc_id for row in ids.orderBy("turn").limit(8).collect()}  # the toxic rows of the sample
+    documents = [(n, plain if n % 3 else common if n in first else rare, "en" if n % 2 else "fr") for n in range(600)]
+    frame = spark.createDataFrame([*documents, (900, rare, "en"), (901, plain, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(n, int(n % 3 == 0)) for n in range(600)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(frame, labels, "toxic", 8, F.lit(True))
+    assert not any(text == rare.encode() for _, text, label in sample)
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    found = {row.doc_id: row for row in toxicity.score_toxicity(frame, labels, F.lit(True), 8).collect()}
+    assert found[900].score >= 0.5 > found[901].score
+
+
+def test_pools_of_blocks_name_the_places_that_won():
+    model = toxicity.learn([b"good words", b"bad words"], [0, 1])
+    rows = toxicity.rows_of(b" ".join(b"w%d" % (n * n % 977) for n in range(500)), toxicity.new_codes())
+    values, places = model.pooled(model.embedded(rows))
+    before, toxicity.TASK_WORDS = toxicity.TASK_WORDS, 64
+    try:
+        blocks, found = model.pooled_whole(rows)
+    finally:
+        toxicity.TASK_WORDS = before
+    assert np.allclose(values, blocks) and np.array_equal(np.stack(places), found)
