@@ -36,6 +36,15 @@ def test_keep_first_drops_repeats_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_keep_first_carries_nothing_that_nobody_reads(spark):
+    rows = spark.range(1000).selectExpr("id % 3 AS key", "id AS time", "repeat(CAST(id AS STRING), 50) AS text")
+    kept = keep_first(rows, ["key"], ["time"])
+    assert [(key, time) for key, time, _ in rows_of(kept)] == [(0, 0), (1, 1), (2, 2)]
+    assert kept.columns == rows.columns
+    plan = plan_of(kept.groupBy().count()).split("== Physical Plan ==")[1]
+    assert "repeat(" not in plan and "Sort" not in plan
+
+
 def test_union_skips_absent_frames_and_widens_to_text(spark):
     numbers = spark.createDataFrame([(1, 10)], "id int, position bigint")
     texts = spark.createDataFrame([("end", 2)], "position string, id int")
