@@ -514,3 +514,13 @@ def test_pools_of_blocks_name_the_places_that_won():
     finally:
         toxicity.TASK_WORDS = before
     assert np.allclose(values, blocks) and np.array_equal(np.stack(places), found)
+
+
+def test_near_duplicates_write_no_table_of_all_prefixes(spark, monkeypatch):
+    written = []
+    saved = similar.Scratch.saved
+    monkeypatch.setattr(similar.Scratch, "saved", lambda self, frame, name: written.append(name) or saved(self, frame, name))
+    rows = [(n, " ".join(f"w{n // 2}x{at}" for at in range(30))) for n in range(20)]
+    kept = similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(row.doc_id for row in kept) == list(range(0, 20, 2))
+    assert "members" in written and "prefixes" not in written
