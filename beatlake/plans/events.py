@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beatlake.functions.rules import date_parts, is_not_bot
 from beatlake.operators.combine import union_present
-from beatlake.operators.dedup import keep_first
+from beatlake.operators.dedup import keep_least
 from beatlake.plans.model import Feed, ReadFeed, Source, kind_of
 from beatlake.sources.lake import PLATFORM, RUN_DATE, Slice, with_run_date
 
@@ -79,7 +79,7 @@ class EventJob:
         if self.drop_null_first:
             rows = rows.na.drop(subset=list(self.drop_null_first))
         if self.dedup:
-            rows = keep_first(rows, [self.key, PLATFORM, RUN_DATE, _PART], [self.sort_key])
+            rows = keep_least(rows, [self.key, PLATFORM, RUN_DATE, _PART], [self.sort_key])
         if self.drop_null_last:
             rows = rows.na.drop(subset=list(self.drop_null_last))
         return rows.select(*self.column_list, *date_parts(F.col(self.sort_key)), *with_run_date(tagged))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beatlake.functions.rules import date_parts, is_not_bot, whole_number
 from beatlake.operators.combine import union_present
-from beatlake.operators.dedup import keep_first
+from beatlake.operators.dedup import keep_least
 from beatlake.operators.joins import one_key_per_user, with_user_key
 from beatlake.plans.catalog import AT, HERE, columns
 from beatlake.plans.events import AGENT_COLUMN, EventJob, Part
@@ -70,7 +70,7 @@ class VisitsJob:
         if visits is None:
             return None
         # One visit per message first: the join then moves no repeats.
-        kept = keep_first(
+        kept = keep_least(
             visits.where(F.col("message_id").isNotNull()), [RUN_DATE, PLATFORM, "message_id"], ["timestamp"]
         ).where(F.col("anonymous_id").isNotNull())
         matched = with_user_key(kept, USER, one_key_per_user(users), ["message_id"])
@@ -130,7 +130,7 @@ class SubscriptionJob:
         if changes is None:
             return None
         changes = changes.na.drop(subset=list(self.identity))
-        kept = keep_first(changes, [RUN_DATE, *self.identity], ["event_timestamp"])
+        kept = keep_least(changes, [RUN_DATE, *self.identity], ["event_timestamp"])
         matched = with_user_key(kept, "user_id", one_key_per_user(users), ["id"])
         return matched.select(*declared(self.column_list), *date_parts(F.col("received_at")), *with_run_date(tagged))
 

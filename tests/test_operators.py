@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from beatlake.operators.combine import union_present
-from beatlake.operators.dedup import keep_first
+from beatlake.operators.dedup import keep_first, keep_least
 from beatlake.operators.joins import left_join_sharded, one_key_per_user, with_user_key
 from beatlake.operators.merge import BucketedTarget, ParquetTarget, absent, first_per_key, merge
 
@@ -36,10 +36,11 @@ def test_keep_first_drops_repeats_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_keep_first_carries_nothing_that_nobody_reads(spark):
+def test_keep_least_carries_nothing_that_nobody_reads(spark):
     rows = spark.range(1000).selectExpr("id % 3 AS key", "id AS time", "repeat(CAST(id AS STRING), 50) AS text")
-    kept = keep_first(rows, ["key"], ["time"])
+    kept = keep_least(rows, ["key"], ["time"])
     assert [(key, time) for key, time, _ in rows_of(kept)] == [(0, 0), (1, 1), (2, 2)]
+    assert rows_of(kept) == rows_of(keep_first(rows, ["key"], ["time"]))
     assert kept.columns == rows.columns
     plan = plan_of(kept.groupBy().count()).split("== Physical Plan ==")[1]
     assert "repeat(" not in plan and "Sort" not in plan
