@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatlake.llm.common import SPACE_CLASS, SPACES, free_name, lowest, saved
+from beatlake.llm.common import SPACE_CLASS, SPACES, free_name, lowest, numbered_rows, saved
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -239,8 +239,15 @@ def rate(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass the base rules and the learned list, with all their columns as they are."""
-    prefix = free_name("rules_", [name[:6] for name in documents.columns])
-    rated = saved(with_statistics(documents, prefix=prefix), "rules-documents")
+    """The documents that pass the base rules and the learned list, with all their columns as they are.
+
+    Only numbers are written where ids are unique, as what a stage leaves behind lies beside all later ones.
+    """
+    names = documents.columns
+    prefix = free_name("rules_", [name[:6] for name in names])
+    row = free_name(f"{prefix}row", names)
+    numbered = numbered_rows(documents, row, "rules-documents")
+    rated = saved(with_statistics(numbered.select(row, "doc_id", "text"), prefix=prefix).drop("text"), "rules-statistics")
     verdict = learn(rated, labels, prefix).keeps()
-    return rated.where(~base_failed(prefix) & verdict).select(*[F.col(f"`{name}`") for name in documents.columns])
+    good = rated.where(~base_failed(prefix) & verdict).select(row)
+    return numbered.join(good, row, "left_semi").select(*[F.col(f"`{name}`") for name in names])

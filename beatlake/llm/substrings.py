@@ -17,6 +17,7 @@ The order that says which string starts earlier is that of the ids, then of the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -33,6 +34,7 @@ LARGE_BUCKET = 1024
 TASK_BYTES = 4 << 20
 COVER = 5  # a context has up to 2 * LENGTH - GRAM bytes, so that this many steps between grams leave no gap
 BLOCK = 1 << 19
+SHARES = 4  # of the anchors, by their names
 POSITION = np.uint64((1 << 20) - 1)
 ODD = np.uint64(0x9E3779B97F4A7C15)  # 2**64 / golden ratio
 OTHER_ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -247,9 +249,14 @@ def repeated_spans(source: DataFrame, large_bucket: int = LARGE_BUCKET) -> DataF
     anchors = tables.saved(
         source.select("row", "data").mapInArrow(_anchors, "row long, anchor long, context long, place long"), "anchors"
     )
-    several = tables.saved(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "several")
-    hits = tables.saved(anchors.join(several, "anchor"), "hits")
-    tables.drop("anchors", "several")
+    shared = []
+    for share in range(SHARES):  # one after another, so that a share's shuffle is gone when the next one begins
+        own = anchors.where(F.pmod(F.xxhash64("anchor"), F.lit(SHARES)) == share)
+        several = tables.saved(own.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), f"several-{share}")
+        shared.append(tables.saved(own.join(several, "anchor"), f"hits-{share}"))
+        tables.drop(f"several-{share}")
+    tables.drop("anchors")
+    hits = reduce(DataFrame.unionByName, shared)
     here = F.struct("row", "place")
     classes = tables.saved(hits.groupBy("anchor", "context").agg(F.min(here).alias("first"), F.count("*").alias("n")), "classes")
     copies = hits.join(classes.where("n > 1").select("anchor", "context", "first"), ["anchor", "context"]).where(here != F.col("first"))
@@ -257,7 +264,7 @@ def repeated_spans(source: DataFrame, large_bucket: int = LARGE_BUCKET) -> DataF
     spans = tables.saved(
         copies.select("row", begin.alias("begin"), (begin + F.col("place") % 256 + (LENGTH - 1)).alias("stop")), "copies"
     )
-    tables.drop("hits")
+    tables.drop(*(f"hits-{share}" for share in range(SHARES)))
     many = tables.saved(classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "many")
     asked = tables.saved(classes.drop("n").join(many, "anchor").select("anchor", "n", "first.row", "first.place"), "asked")
     tables.drop("classes", "many")
@@ -336,29 +343,36 @@ def without_repeats(documents: DataFrame, large_bucket: int = LARGE_BUCKET) -> D
 
 
 def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last columns are a text's bytes and its spans, without the bytes of the spans and the column of spans."""
     for batch in batches:
+        *others, data, spans = batch.columns
         texts = [
-            b"".join(part.decode("utf-8", "ignore").encode() for part in kept_parts(value.as_py(), merged(spans.as_py())))
-            for value, spans in zip(batch.column(1), batch.column(2))
+            None if not value.is_valid else value.as_py() if not cut.is_valid
+            else b"".join(part.decode("utf-8", "ignore").encode() for part in kept_parts(value.as_py(), merged(cut.as_py())))
+            for value, cut in zip(data, spans)
         ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["row", "text"])
+        yield pa.RecordBatch.from_arrays([*others, pa.array(texts, data.type)], names=batch.schema.names[:-1])
 
 
 def cut_repeats(documents: DataFrame) -> DataFrame:
     """The documents without repeated strings, with all their columns; n_chars, if there, counts what is left.
 
     Characters that a cut leaves in part go too. Texts that lose everything stay, empty; a NULL text stays NULL.
+    All columns meet the spans in one join, so that texts are shuffled once.
     """
     names = documents.columns
-    row, new = free_name("substrings_row", names), free_name("substrings_text", names)
+    row, cut = free_name("substrings_row", names), free_name("substrings_spans", names)
     if unique_ids(documents):
         numbered = documents.withColumn(row, F.col("doc_id").cast("long"))
     else:  # numbered in the order of the ids, as one table that all steps read
         numbered = saved(documents.orderBy("doc_id", "text").withColumn(row, F.monotonically_increasing_id()), "substrings-documents")
     source = numbered.select(F.col(row).alias("row"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
-    spans = repeated_spans(source).groupBy("row").agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
-    texts = source.join(spans, "row").select("row", "data", "spans").mapInArrow(_rewritten, "row long, text binary")
-    joined = numbered.join(texts.select(F.col("row").alias(row), F.col("text").cast("string").alias(new)), row, "left")
-    text = F.coalesce(F.col(new), F.col("text"))
-    changed = {"text": text} | ({"n_chars": F.length(text).cast(numbered.schema["n_chars"].dataType)} if "n_chars" in names else {})
-    return joined.select(*[changed[name].alias(name) if name in changed else F.col(f"`{name}`") for name in names])
+    spans = repeated_spans(source).groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("begin", "stop")).alias(cut))
+    plain = {name: f"column_{at}" for at, name in enumerate(names) if name != "text"}  # a map over Arrow takes no dots
+    others = [F.col(f"`{name}`").alias(other) for name, other in plain.items()]
+    given = numbered.join(spans, row, "left").select(*others, F.col("text").cast("binary").alias("text"), F.col(cut).alias("spans"))
+    left = given.mapInArrow(_rewritten, given.drop("spans").schema)
+    changed = {"text": F.col("text").cast("string")}
+    if "n_chars" in names:
+        changed["n_chars"] = F.length(changed["text"]).cast(numbered.schema["n_chars"].dataType)
+    return left.select(*[(changed[name] if name in changed else F.col(plain[name])).alias(name) for name in names])

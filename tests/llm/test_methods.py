@@ -524,3 +524,59 @@ def test_near_duplicates_write_no_table_of_all_prefixes(spark, monkeypatch):
     kept = similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(row.doc_id for row in kept) == list(range(0, 20, 2))
     assert "members" in written and "prefixes" not in written
+
+
+def test_stages_leave_no_copy_of_the_texts(spark, monkeypatch):
+    """What the rules and the repeated strings write beside their result are numbers, and a text is shuffled once."""
+    written = []
+
+    def noting(module):
+        saved = module.saved
+        monkeypatch.setattr(module, "saved", lambda frame, name, *path: written.append((name, frame.columns)) or saved(frame, name, *path))
+
+    noting(rules)
+    noting(substrings)
+    rows = [(n, " ".join(f"w{n}x{at}" for at in range(80)) + " and a line that all of these texts share" * 5, n, n % 2 == 0) for n in range(20)]
+    rows[7] = (7, None, 7, False)
+    frame = spark.createDataFrame([*rows, (20, "few words", 9, True)], "doc_id long, text string, `a.b` long, flag boolean")
+    labels = spark.createDataFrame([(n, 1) for n in range(20)], "doc_id long, quality int")
+    good = rules.keep_good(frame, labels)
+    assert good.columns == frame.columns and {row.doc_id for row in good.collect()} == set(range(20)) - {7}
+    assert ["rules-statistics", "rules-labelled"] == [name for name, _ in written]
+    assert not any("text" in columns for _, columns in written)
+    cut = substrings.cut_repeats(frame)
+    assert cut.schema.simpleString() == frame.schema.simpleString() and cut.count() == 21
+    found = {row.doc_id: row for row in cut.collect()}
+    assert found[7].text is None and found[20].text == "few words" and len(found[3].text) < len(rows[3][1]) - 100
+    assert found[0].text.startswith("w0x0 ") and (found[8]["a.b"], found[8].flag, found[9].flag) == (8, True, False)
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    assert written[2:] == []
+
+
+def test_near_duplicates_read_the_texts_of_open_pairs_once(spark, monkeypatch):
+    """Few pairs of some parts and the pairs that sketches leave in others are decided together, dense parts by themselves."""
+    monkeypatch.setattr(similar, "FEW_PAIRS", 0)
+    written = []
+    saved = similar.Scratch.saved
+    monkeypatch.setattr(similar.Scratch, "saved", lambda self, frame, name: written.append(name) or saved(self, frame, name))
+    random.seed(3)
+    base, texts = [f"w{at}" for at in range(400)], {}
+    for doc in range(60):
+        own = list(base)
+        for at in random.sample(range(400), 5):
+            own[at] = f"x{doc}-{at}"
+        texts[doc] = " ".join(own)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {row.doc_id for row in similar.keep_one(frame).collect()} == brute_kept(texts)
+    assert "candidates-sketched" in written and [name for name in written if name.startswith("pairs")] == ["pairs-first", "pairs-second"]
+
+
+def test_shares_of_anchors_equal_all_at_once(spark, monkeypatch):
+    words = [f"word{n % 37}" for n in range(400)]
+    frame = spark.createDataFrame([(n, " ".join(words[n * 5 : n * 5 + 90])) for n in range(40)], "doc_id long, text string")
+    written = []
+    saved = substrings.Scratch.saved
+    monkeypatch.setattr(substrings.Scratch, "saved", lambda self, frame, name: written.append(name) or saved(self, frame, name))
+    found = {row[0]: tuple(row[1:]) for row in substrings.without_repeats(frame).collect()}
+    assert found == brute_substrings({row.doc_id: row.text.encode() for row in frame.collect()})
+    assert "hits" not in written and sum(name.startswith("hits-") for name in written) == substrings.SHARES > 1
